@@ -13,12 +13,23 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# The same characters as a regular expression class.
+_SPACE = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*"
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
-_INTEGER = rf"^[+-]?{_DIGITS}$"
+_INTEGER = rf"[+-]?{_DIGITS}"
 _EXPONENT = rf"(?:[eE][+-]?{_DIGITS})?"
-_LOOSE_NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS}){_EXPONENT}$"
-_PLAIN_NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-_REAL_DATE = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_LOOSE_NUMBER = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS}){_EXPONENT}"
+_PLAIN_NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_REAL_DATE = r"(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
+
+def _matched(text: Column, pattern: str) -> Column:
+    """The text without surrounding white space if all of it matches, else an empty string.
+
+    One regular expression both checks and trims, so the text is named once in the plan; guards
+    of the form "when it matches, cast it" would multiply in every rule built on top of them.
+    """
+    return F.regexp_extract(text, f"^{_SPACE}({pattern}){_SPACE}$", 1)
 
 
 def strip(text: Column) -> Column:
@@ -46,8 +57,7 @@ def valid_date_shape(text: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """A real calendar date, month and day possibly unpadded; null otherwise."""
-    trimmed = strip(text)
-    return F.when(trimmed.rlike(_REAL_DATE), F.try_to_date(trimmed, "y-M-d"))
+    return _matched(text, _REAL_DATE).try_cast("date")
 
 
 def valid_date(text: Column) -> Column:
@@ -56,20 +66,15 @@ def valid_date(text: Column) -> Column:
 
 def parse_integer(text: Column, to: str = "bigint") -> Column:
     """Integer text with optional sign and digit groups; null for anything else."""
-    trimmed = strip(text)
-    return F.when(trimmed.rlike(_INTEGER), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast(to))
+    return F.replace(_matched(text, _INTEGER), F.lit("_"), F.lit("")).try_cast(to)
 
 
 def parse_number(text: Column, digit_groups: bool = True) -> Column:
-    """Finite number text as a double; null for anything else, ``nan`` and ``5d`` included."""
-    trimmed = strip(text)
-    pattern = _LOOSE_NUMBER if digit_groups else _PLAIN_NUMBER
-    number = F.when(
-        trimmed.rlike(pattern), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double")
-    )
-    return finite(number)
+    """Number text as a double; null for anything else, ``nan``, ``inf`` and ``5d`` included."""
+    digits = _matched(text, _LOOSE_NUMBER if digit_groups else _PLAIN_NUMBER)
+    return F.replace(digits, F.lit("_"), F.lit("")).try_cast("double")
 
 
 def finite(number: Column) -> Column:
-    """The number, or null when it is NaN or infinite."""
-    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
+    """The number, or null when it is NaN or infinite (NaN is no less than infinity)."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from musterline.errors import DuplicateKeyError, MissingKeyError
 from musterline.model import SNAKE, RosterColumns
-from musterline.operators.dedup import keep_first
+from musterline.operators.dedup import one_per_key
 
 
 def _shown(frame: DataFrame, key: str) -> str:
@@ -59,8 +59,7 @@ def apply_updates(
     """
     key = columns.id
     if order is not None:
-        latest = changes.withColumn("__age", -F.col(order))
-        changes = keep_first(latest, key, "__age").drop("__age")
+        changes = one_per_key(changes, key, F.col(order).desc())
     fields = [name for name in table.columns if name != key]
     renamed = changes.select(
         F.col(key).alias("__key"),

@@ -19,7 +19,7 @@ def coerce_numeric(df: DataFrame, *names: str) -> DataFrame:
 
     def number(name: str):
         if isinstance(df.schema[name].dataType, T.StringType):
-            return parse_number(F.col(name), digit_groups=False)
+            return finite(parse_number(F.col(name), digit_groups=False))
         return finite(F.col(name).cast("double"))
 
     return df.withColumns({name: number(name) for name in names})

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from musterline.errors import ContractError
 from musterline.fixed_values import DEPARTMENTS, SALARY_MAX, SALARY_MIN, SCORE_MAX, SCORE_MIN
 from musterline.functions.text import (
-    finite,
     is_blank,
     is_true,
     parse_date,
@@ -79,9 +78,8 @@ def integer_of(df: DataFrame, name: str, to: str = "bigint") -> Column:
 
 
 def number_of(df: DataFrame, name: str) -> Column:
-    if _is_text(df, name):
-        return parse_number(F.col(name))
-    return finite(F.col(name).cast("double"))
+    """The field as a double, possibly NaN or infinite."""
+    return parse_number(F.col(name)) if _is_text(df, name) else F.col(name).cast("double")
 
 
 def date_of(df: DataFrame, name: str) -> Column:
@@ -89,11 +87,10 @@ def date_of(df: DataFrame, name: str) -> Column:
 
 
 def _between(value: Column, low: float | None, high: float | None) -> Column:
-    ok = value.isNotNull()
+    """Inclusive bounds. NaN sorts above every number, so each upper test also rejects it."""
+    ok = value <= F.lit(float(high)) if high is not None else value < F.lit(float("inf"))
     if low is not None:
         ok = ok & (value >= F.lit(float(low)))
-    if high is not None:
-        ok = ok & (value <= F.lit(float(high)))
     return is_true(ok)
 
 
@@ -142,6 +139,15 @@ def _rules(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
     return rules
 
 
+def present_codes(codes: list[Column]) -> Column:
+    """The non-null codes as an array.
+
+    ``array_compact`` is a higher-order function, which would take the rules below it out of
+    generated code.
+    """
+    return F.array_except(F.array(*codes), F.array(F.lit(None).cast("string")))
+
+
 def annotate(df: DataFrame, contract: Contract) -> DataFrame:
     """Add ``reasons``: the codes of the violated rules, empty for a clean row.
 
@@ -160,7 +166,7 @@ def annotate(df: DataFrame, contract: Contract) -> DataFrame:
         reasons.append(
             F.when(F.col("__duplicate") & F.col("__typed_key").isNotNull(), F.lit(DUPLICATE))
         )
-    annotated = df.withColumn(REASONS, F.array_compact(F.array(*reasons)))
+    annotated = df.withColumn(REASONS, present_codes(reasons))
     return annotated.drop("__typed_key", "__duplicate")
 
 
@@ -197,13 +203,20 @@ def standardise(clean: DataFrame, columns: RosterColumns = SNAKE, typed_dates: b
 
 def first_violation(df: DataFrame, contract: Contract) -> DataFrame:
     """Per row, the first field in declaration order that breaks the contract, with its value."""
-    rules = _rules(df, contract)
-    field = F.coalesce(*[F.when(~holds, F.lit(name)) for name, _, holds in rules])
-    code = F.coalesce(*[F.when(~holds, F.lit(reason)) for _, reason, holds in rules])
-    value = F.coalesce(
-        *[F.when(~holds, F.coalesce(F.col(name).cast("string"), F.lit(""))) for name, _, holds in rules]
+    found = F.coalesce(
+        *[
+            F.when(
+                ~holds,
+                F.struct(
+                    F.lit(name).alias("violated_field"),
+                    F.lit(code).alias("violation"),
+                    F.coalesce(F.col(name).cast("string"), F.lit("")).alias("violating_value"),
+                ),
+            )
+            for name, code, holds in _rules(df, contract)
+        ]
     )
-    return df.withColumns({"violated_field": field, "violation": code, "violating_value": value})
+    return df.withColumn("__found", found).select("*", "__found.*").drop("__found")
 
 
 def quarantine_summary(annotated: DataFrame) -> DataFrame:

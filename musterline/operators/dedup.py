@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from musterline.operators.small_side import SMALL_ROWS, collect_if_small
 
 
-def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
-    """The row with the lowest ``order`` of every key; null keys count as one key.
-
-    The row-number filter lets Spark limit each key to one row per map task before the shuffle,
-    so a key that holds a large share of all rows costs no more than any other.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
-
-
 def mark_duplicates(
     df: DataFrame,
     key: str,
@@ -27,10 +16,11 @@ def mark_duplicates(
 ) -> DataFrame:
     """Add ``flag``: true for every row of a key but the one with the lowest ``order``.
 
-    ``order`` must be unique within a key. A window over the key would bring all rows of a key
-    into one task; instead the lowest order per key is found by aggregation. When few keys repeat
-    (checked by a job at call time) they are broadcast and the rows stay where they are. Otherwise
-    rows meet their key's lowest order on (key, order), which spreads the rows of any key evenly.
+    Null keys count as one key. ``order`` must be unique within a key. A window over the key would
+    bring all rows of a key into one task; instead the lowest order per key is found by
+    aggregation. When few keys repeat (checked by a job at call time) they are broadcast and the
+    rows stay where they are. Otherwise rows meet their key's lowest order on (key, order), which
+    spreads the rows of any key evenly.
     """
     firsts = df.groupBy(F.col(key).alias("__key")).agg(
         F.min(order).alias("__first"), F.count(F.lit(1)).alias("__rows")
@@ -45,3 +35,18 @@ def mark_duplicates(
         joined = df.join(marked, same_key & (F.col(order) == F.col("__first")), "left")
         duplicate = F.col("__is_first").isNull()
     return joined.withColumn(flag, duplicate).drop("__key", "__first", "__is_first")
+
+
+def keep_first(df: DataFrame, key: str, order: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """The row with the lowest ``order`` of every key, found like :func:`mark_duplicates`."""
+    return mark_duplicates(df, key, order, "__later", max_rows).where(~F.col("__later")).drop("__later")
+
+
+def one_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
+    """The first row of every key by ``order``, exactly one even if ``order`` ties.
+
+    The row-number filter lets Spark limit each key to one row per map task before the shuffle,
+    so a key that holds a large share of all rows costs no more than any other.
+    """
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(order))
+    return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from musterline.functions.text import finite
 from musterline.operators.quantiles import exact_quantiles
@@ -23,46 +23,41 @@ def _finite_values(df: DataFrame, value: str, *keep: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """``bins`` equal bins from the lowest to the highest value; the last one is closed.
 
-    A constant column gets the range value +- 0.5. Empty bins are kept. A first job finds the
-    range (a scalar subquery); the counts then combine to at most ``bins`` rows per task.
+    A constant column gets the range value +- 0.5, an empty one the range 0 to 1. Empty bins are
+    kept. The range is found by a job at call time; the counts then combine to at most ``bins``
+    rows per task.
     """
     values = _finite_values(df, value)
-    lowest, highest = F.min("__x"), F.max("__x")
-    constant = lowest == highest
-    span = values.agg(
-        F.struct(
-            F.when(constant, lowest - 0.5).otherwise(lowest).alias("lo"),
-            F.when(constant, highest + 0.5).otherwise(highest).alias("hi"),
-        ).alias("span")
-    ).scalar()
-    lo, hi = span["lo"], span["hi"]
-    step = (hi - lo) / F.lit(float(bins))
-
-    def edge(index):
-        return F.when(index == bins, hi).otherwise(lo + index * step)
+    lo, hi = values.agg(F.min("__x"), F.max("__x")).first()
+    if lo is None:
+        lo, hi = 0.0, 1.0
+    elif lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    step = (hi - lo) / bins
+    edges = [lo + index * step for index in range(bins)] + [hi]
 
     # The division may land one bin off at an edge: compare with the edges themselves.
-    guess = F.least(F.floor((F.col("__x") - lo) / (hi - lo) * F.lit(float(bins))), F.lit(bins - 1))
-    placed = values.withColumn("__guess", guess.cast("int"))
+    x, guess = F.col("__x"), F.col("__guess")
+    edge = F.array(*[F.lit(e) for e in edges])
+    place = F.least(F.floor((x - lo) / (hi - lo) * float(bins)), F.lit(bins - 1)).cast("int")
     index = (
-        F.when(F.col("__x") < edge(F.col("__guess")), F.col("__guess") - 1)
-        .when(
-            (F.col("__guess") < bins - 1) & (F.col("__x") >= edge(F.col("__guess") + 1)),
-            F.col("__guess") + 1,
-        )
-        .otherwise(F.col("__guess"))
+        F.when(x < F.get(edge, guess), guess - 1)
+        .when((guess < bins - 1) & (x >= F.get(edge, guess + 1)), guess + 1)
+        .otherwise(guess)
+    )
+    counts = (
+        values.withColumn("__guess", place)
+        .groupBy(index.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    spine = df.sparkSession.createDataFrame(
+        [(i, edges[i], edges[i + 1]) for i in range(bins)],
+        "bin int, lower_edge double, upper_edge double",
     )
-    counts = placed.groupBy(index.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     # counts has at most one row per bin, so broadcasting it is bounded by the argument.
     return (
         spine.join(F.broadcast(counts), "bin", "left")
-        .select(
-            "bin",
-            edge(F.col("bin")).alias("lower_edge"),
-            edge(F.col("bin") + 1).alias("upper_edge"),
-            F.coalesce("count", F.lit(0)).alias("count"),
-        )
+        .withColumn("count", F.coalesce("count", F.lit(0)))
         .orderBy("bin")
     )
 
@@ -178,20 +173,16 @@ def pair_counts(df: DataFrame, x: str, y: str, x_bins: int, y_bins: int) -> Data
     points = df.select(
         finite(F.col(x).cast("double")).alias("__x"), finite(F.col(y).cast("double")).alias("__y")
     ).where(F.col("__x").isNotNull() & F.col("__y").isNotNull())
-    span = points.agg(
-        F.struct(
-            F.min("__x").alias("x0"),
-            F.max("__x").alias("x1"),
-            F.min("__y").alias("y0"),
-            F.max("__y").alias("y1"),
-        )
-    ).scalar()
+    x0, x1, y0, y1 = points.agg(
+        F.min("__x"), F.max("__x"), F.min("__y"), F.max("__y")
+    ).first()
 
-    def cell(value, low, high, bins):
-        share = F.try_divide(F.col(value) - low, high - low)
-        return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1)).cast("int")
+    def cell(name: str, low: float | None, high: float | None, bins: int) -> Column:
+        if low is None or low == high:
+            return F.lit(0)
+        share = (F.col(name) - low) / (high - low)
+        return F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
 
     return points.groupBy(
-        cell("__x", span["x0"], span["x1"], x_bins).alias("x_bin"),
-        cell("__y", span["y0"], span["y1"], y_bins).alias("y_bin"),
+        cell("__x", x0, x1, x_bins).alias("x_bin"), cell("__y", y0, y1, y_bins).alias("y_bin")
     ).agg(F.count(F.lit(1)).alias("points"))

@@ -32,7 +32,10 @@ def flatten_users(users: DataFrame) -> DataFrame:
     Every field is derived from the user id; remainders are those of floor division, so they are
     never negative.
     """
-    user_id = parse_integer(F.col("id").cast("string"))
+    # A generated column is computed once. A plain one would be copied into every rule of the
+    # filters that Catalyst pushes below this projection, and the id would be parsed each time.
+    users = users.select("*", F.explode(F.array(parse_integer(F.col("id")))).alias("__user_id"))
+    user_id = F.col("__user_id")
 
     def cycle(n: int) -> Column:
         return F.pmod(user_id, F.lit(n)).cast("int")
@@ -46,7 +49,7 @@ def flatten_users(users: DataFrame) -> DataFrame:
         (F.lit(PAYLOAD_SALARY_BASE) + user_id * F.lit(PAYLOAD_SALARY_STEP)).alias(SNAKE.salary),
         F.make_date(F.lit(PAYLOAD_YEAR), cycle(12) + 1, cycle(28) + 1).alias(SNAKE.joining_date),
         (cycle(5) + 1).alias(SNAKE.score),
-        *[F.col(name) for name in users.columns if name not in {*SNAKE.base, *_USER_FIELDS}],
+        *[F.col(name) for name in users.columns if name not in {*SNAKE.base, *_USER_FIELDS, "__user_id"}],
     )
     return annotate(rows, ENTITY)
 

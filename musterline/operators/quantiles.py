@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from musterline.functions.text import finite
-from musterline.operators.small_side import SMALL_ROWS, collect_if_small, null_safe_left_join
+from musterline.operators.small_side import SMALL_ROWS, collect_if_small, null_safe_join
 
 BUCKETS_PER_E = 1024
 
@@ -87,21 +87,16 @@ def exact_quantiles(
     )
 
     small = collect_if_small(targets, max_rows)
+    chosen = F.broadcast(small) if small is not None else targets
     keys = [*by, "__bucket"]
-    if small is not None:
-        narrowed = null_safe_left_join(values, F.broadcast(small), keys)
-    else:
-        narrowed = null_safe_left_join(values, targets, keys)
+    # Only the count is aggregated here; what a bucket's target says joins in afterwards, so this
+    # stays a hash aggregation.
     counted = (
-        narrowed.where(F.col("__ranks").isNotNull())
+        null_safe_join(values, chosen.select(*keys), keys, "left_semi")
         .groupBy(*keys, "__value")
-        .agg(
-            F.count(F.lit(1)).alias("__count"),
-            F.first("n").alias("n"),
-            F.first("__before").alias("__before"),
-            F.first("__ranks").alias("__ranks"),
-        )
+        .agg(F.count(F.lit(1)).alias("__count"))
     )
+    counted = null_safe_join(counted, chosen, keys, "inner")
     end = F.col("__before") + F.sum("__count").over(
         Window.partitionBy(*keys)
         .orderBy("__value")

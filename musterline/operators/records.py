@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from musterline.functions.text import parse_integer, parse_number
+from musterline.functions.text import finite, parse_integer, parse_number
 from musterline.model import SNAKE, RosterColumns
+from musterline.operators.contracts import present_codes
 
 
 def typed_from_text(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
@@ -17,7 +18,7 @@ def typed_from_text(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     c = columns
     casts: dict[str, Column] = {
         c.id: parse_integer(F.col(c.id)),
-        c.salary: parse_number(F.col(c.salary)),
+        c.salary: finite(parse_number(F.col(c.salary))),
         c.score: parse_integer(F.col(c.score), "int"),
     }
     errors = []
@@ -27,4 +28,4 @@ def typed_from_text(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
             errors.append(
                 F.when(F.col(name).isNotNull() & casts[name].isNull(), F.lit(f"{name}:type"))
             )
-    return df.withColumns({**casts, "cast_errors": F.array_compact(F.array(*errors))})
+    return df.withColumns({**casts, "cast_errors": present_codes(errors)})

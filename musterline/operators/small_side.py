@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 SMALL_ROWS = 100_000
 
@@ -30,13 +32,13 @@ def join_statistics(
     keys = [on] if isinstance(on, str) else list(on)
     small = collect_if_small(statistics, max_rows)
     right = F.broadcast(small) if small is not None else statistics
-    return null_safe_left_join(df, right, keys)
+    return null_safe_join(df, right, keys, "left")
 
 
-def null_safe_left_join(df: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def null_safe_join(df: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join in which null keys equal each other; the keys of ``df`` remain."""
     renamed = right.withColumnsRenamed({key: f"__right_{key}" for key in keys})
-    condition: Column | None = None
-    for key in keys:
-        equal = F.col(key).eqNullSafe(F.col(f"__right_{key}"))
-        condition = equal if condition is None else condition & equal
-    return df.join(renamed, condition, "left").drop(*[f"__right_{key}" for key in keys])
+    condition = reduce(
+        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__right_{key}")) for key in keys]
+    )
+    return df.join(renamed, condition, how).drop(*[f"__right_{key}" for key in keys])

@@ -91,8 +91,12 @@ def resolve_feeds(
         defaults.append((name, json.dumps(default)))
     spine = spark.createDataFrame(defaults, "feed string, __default string")
     present = landed.where(F.col("feed").isin(*names) & F.col("data").isNotNull())
-    latest = F.max_by("data", order) if order else F.max("data")
-    present = present.groupBy("feed").agg(latest.alias("__landed"))
+    if order:
+        # The latest landing is found by its order alone: texts in an aggregation buffer would
+        # have all rows sorted first. One row per requested name.
+        last = present.groupBy("feed").agg(F.max(order).alias(order))
+        present = present.join(F.broadcast(last), ["feed", order], "left_semi")
+    present = present.groupBy("feed").agg(F.max("data").alias("__landed"))
     # At most one row per requested name.
     return spine.join(F.broadcast(present), "feed", "left").select(
         "feed",
