@@ -1,7 +1,8 @@
 """Keyed changes: a table frame and a change frame in, the changed table out.
 
 Keys of the table are unique. Every join below is on the key, so no key is hot on the table side;
-the change side is reduced to one row per key first.
+the change side is reduced to one row per key first. Few changes are broadcast after a check of
+their number, and the table is scanned without a shuffle.
 """
 
 from __future__ import annotations
@@ -11,6 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from musterline.errors import DuplicateKeyError, MissingKeyError
 from musterline.model import SNAKE, RosterColumns
 from musterline.operators.dedup import one_per_key
+from musterline.operators.small_side import collect_if_small, rows_with_keys
+
+# Whole changed rows, not only keys, are sent to every task: fewer of them count as few.
+SMALL_CHANGES = 10_000
 
 
 def _shown(frame: DataFrame, key: str) -> str:
@@ -18,13 +23,18 @@ def _shown(frame: DataFrame, key: str) -> str:
     return ", ".join(str(row[0]) for row in frame.select(key).limit(20).collect())
 
 
+def _held_keys(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """The keys of ``batch`` that the table holds, once each: a scan of the table's key column."""
+    return rows_with_keys(table.select(key), batch, key)
+
+
 def batch_conflicts(table: DataFrame, batch: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     """Keys that keep ``batch`` from being inserted: (key, rows_in_batch, in_table)."""
     key = columns.id
     incoming = batch.groupBy(key).agg(F.count(F.lit(1)).alias("rows_in_batch"))
-    held = table.select(F.col(key).alias("__held")).withColumn("__in_table", F.lit(True))
+    held = _held_keys(table, batch, key).withColumn("__in_table", F.lit(True))
     return (
-        incoming.join(held, F.col(key) == F.col("__held"), "left")
+        incoming.join(held, key, "left")
         .select(key, "rows_in_batch", F.coalesce("__in_table", F.lit(False)).alias("in_table"))
         .where((F.col("rows_in_batch") > 1) | F.col("in_table"))
     )
@@ -40,14 +50,13 @@ def insert_batch(table: DataFrame, batch: DataFrame, columns: RosterColumns = SN
 
 def new_rows(table: DataFrame, batch: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     """The rows of ``batch`` that :func:`insert_batch` would accept one by one."""
-    return batch.join(table.select(columns.id), columns.id, "left_anti")
+    return batch.join(_held_keys(table, batch, columns.id), columns.id, "left_anti")
 
 
 def missing_keys(table: DataFrame, changes: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     """Keys addressed by ``changes`` that the table does not hold, once each."""
-    return (
-        changes.select(columns.id).distinct().join(table.select(columns.id), columns.id, "left_anti")
-    )
+    key = columns.id
+    return changes.select(key).distinct().join(_held_keys(table, changes, key), key, "left_anti")
 
 
 def apply_updates(
@@ -66,7 +75,9 @@ def apply_updates(
         F.lit(True).alias("__changed"),
         *[F.col(name).alias(f"__new_{name}") for name in fields if name in changes.columns],
     )
-    joined = table.join(renamed, F.col(key) == F.col("__key"), "left")
+    small = collect_if_small(renamed, SMALL_CHANGES)
+    right = F.broadcast(small) if small is not None else renamed
+    joined = table.join(right, F.col(key) == F.col("__key"), "left")
 
     def merged(name: str):
         if name == key or name not in changes.columns:
@@ -93,7 +104,9 @@ def update_rows(
 
 def apply_deletes(table: DataFrame, keys: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     """The table without the rows addressed by ``keys``; other keys are ignored."""
-    return table.join(keys.select(columns.id).distinct(), columns.id, "left_anti")
+    gone = keys.select(columns.id).distinct()
+    small = collect_if_small(gone)
+    return table.join(F.broadcast(small) if small is not None else gone, columns.id, "left_anti")
 
 
 def delete_rows(table: DataFrame, keys: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from musterline.functions.numbers import is_high
 from musterline.model import SNAKE, RosterColumns
-from musterline.operators.small_side import SMALL_ROWS, collect_if_small
+from musterline.operators.small_side import rows_with_keys
 
 # ASCII letters only: the search folds no other letters.
 _FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -36,9 +36,7 @@ def find_by_keys(
     """Rows whose key is among ``keys``: a list of literals, or a frame with the key column."""
     if not isinstance(keys, DataFrame):
         return df.where(F.col(columns.id).isin(list(keys)))
-    wanted = keys.select(columns.id).distinct()
-    small = collect_if_small(wanted, SMALL_ROWS)
-    return df.join(F.broadcast(small) if small is not None else wanted, columns.id, "left_semi")
+    return rows_with_keys(df, keys, columns.id)
 
 
 def scan_ordered(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:

@@ -12,10 +12,11 @@ SMALL_ROWS = 100_000
 def collect_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
     """``df`` as literal rows when it has at most ``max_rows``, else None.
 
-    Runs ``df`` once and never moves more than ``max_rows + 1`` rows to the driver.
+    Runs ``df`` once and never moves more than ``max_rows + 1`` rows to the driver. As a literal
+    relation the result is not computed again by the plans that use it, and its size is known.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 
@@ -42,3 +43,16 @@ def null_safe_join(df: DataFrame, right: DataFrame, keys: list[str], how: str) -
         lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__right_{key}")) for key in keys]
     )
     return df.join(renamed, condition, how).drop(*[f"__right_{key}" for key in keys])
+
+
+def rows_with_keys(
+    df: DataFrame, keys: DataFrame, key: str, max_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """The rows of ``df`` whose key is among ``keys``.
+
+    Few distinct keys (checked by a job at call time) are broadcast, so a large ``df`` is only
+    scanned; many are matched by a shuffle join.
+    """
+    wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    small = collect_if_small(wanted, max_rows)
+    return df.join(F.broadcast(small) if small is not None else wanted, key, "left_semi")

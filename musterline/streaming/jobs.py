@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from musterline.model import SNAKE, RosterColumns
-from musterline.operators.contracts import DUPLICATE, REASONS, Contract, annotate
+from musterline.operators.contracts import DUPLICATE, REASONS, Contract, annotate, integer_of
 from musterline.operators.flatten import flatten_users
 from musterline.operators.metrics import department_summary
-from musterline.operators.small_side import collect_if_small
+from musterline.operators.small_side import join_statistics, rows_with_keys
 from musterline.sources.roster_files import path_is_missing
 
 
@@ -25,15 +25,29 @@ def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
     return writer.start()
 
 
-def _earlier_keys(spark: SparkSession, folder: str, epoch: int, key: str) -> DataFrame | None:
+def _earlier_rows(spark: SparkSession, folder: str, epoch: int) -> DataFrame | None:
     try:
-        return spark.read.parquet(folder).where(F.col("epoch") < epoch).select(key)
+        return spark.read.parquet(folder).where(F.col("epoch") < epoch)
     except AnalysisException as error:
         if not path_is_missing(error):
             raise
         return None
 
 
+def _mark_known(annotated: DataFrame, earlier: DataFrame, key: str) -> DataFrame:
+    """Add the duplicate reason to rows whose key came in an earlier batch."""
+    rows = annotated.withColumn("__key", integer_of(annotated, key))
+    # Scans the key column of the earlier rows; what it finds is no larger than the batch.
+    seen = earlier.select(integer_of(earlier, key).alias("__key"))
+    known = rows_with_keys(seen, rows, "__key").distinct().withColumn("__known", F.lit(True))
+    with_reason = F.array_union(F.col(REASONS), F.array(F.lit(DUPLICATE)))
+    return (
+        join_statistics(rows, known, "__key")
+        .withColumn(REASONS, F.when(F.col("__known"), with_reason).otherwise(F.col(REASONS)))
+        .drop("__key", "__known")
+    )
+
+
 def contract_split_stream(
     rows: DataFrame,
     contract: Contract,
@@ -51,22 +65,9 @@ def contract_split_stream(
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         annotated = annotate(batch, contract)
-        earlier = _earlier_keys(spark, f"{folder}/rows", epoch, c.id) if epoch else None
+        earlier = _earlier_rows(spark, f"{folder}/rows", epoch) if epoch else None
         if contract.quarantine_duplicates and earlier is not None:
-            # The batch's own keys bound the lookup: only they can be found again.
-            keys = batch.select(c.id).where(F.col(c.id).isNotNull()).distinct()
-            known = keys.join(earlier, c.id, "left_semi").withColumn("__known", F.lit(True))
-            small = collect_if_small(known)
-            annotated = annotated.join(
-                F.broadcast(small) if small is not None else known, c.id, "left"
-            ).withColumn(
-                REASONS,
-                F.when(
-                    F.col("__known"),
-                    F.array_union(F.col(REASONS), F.array(F.lit(DUPLICATE))),
-                ).otherwise(F.col(REASONS)),
-            )
-            annotated = annotated.drop("__known")
+            annotated = _mark_known(annotated, earlier, c.id)
         verdict = F.when(F.size(REASONS) == 0, "clean").otherwise("quarantine")
         (
             annotated.withColumn("verdict", verdict)
