@@ -221,10 +221,12 @@ def first_violation(df: DataFrame, contract: Contract) -> DataFrame:
 
 def quarantine_summary(annotated: DataFrame) -> DataFrame:
     """Rows per reason. A row that breaks several rules counts once for each of them."""
+    # Grouped by the whole list first: a few combinations are exploded, not the rows.
+    combinations = annotated.groupBy(REASONS).agg(F.count(F.lit(1)).alias("__rows"))
     return (
-        annotated.select(F.explode(REASONS).alias("reason"))
+        combinations.select(F.explode(REASONS).alias("reason"), "__rows")
         .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum("__rows").alias("rows"))
     )
 
 

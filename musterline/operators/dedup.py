@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from musterline.operators.small_side import SMALL_ROWS, collect_if_small
+from musterline.operators.small_side import collect_if_small
+
+# A repeated key is sent to every task with its lowest order: some 16 bytes.
+SMALL_KEYS = 500_000
 
 
 def mark_duplicates(
@@ -12,7 +15,7 @@ def mark_duplicates(
     key: str,
     order: str,
     flag: str = "is_duplicate",
-    max_rows: int = SMALL_ROWS,
+    max_rows: int = SMALL_KEYS,
 ) -> DataFrame:
     """Add ``flag``: true for every row of a key but the one with the lowest ``order``.
 
@@ -31,13 +34,14 @@ def mark_duplicates(
         joined = df.join(F.broadcast(repeated), same_key, "left")
         duplicate = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
     else:
-        marked = firsts.drop("__rows").withColumn("__is_first", F.lit(True))
+        # Narrow and evenly spread over (key, order): hashing it spares sorting the wide rows.
+        marked = firsts.drop("__rows").withColumn("__is_first", F.lit(True)).hint("shuffle_hash")
         joined = df.join(marked, same_key & (F.col(order) == F.col("__first")), "left")
         duplicate = F.col("__is_first").isNull()
     return joined.withColumn(flag, duplicate).drop("__key", "__first", "__is_first")
 
 
-def keep_first(df: DataFrame, key: str, order: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+def keep_first(df: DataFrame, key: str, order: str, max_rows: int = SMALL_KEYS) -> DataFrame:
     """The row with the lowest ``order`` of every key, found like :func:`mark_duplicates`."""
     return mark_duplicates(df, key, order, "__later", max_rows).where(~F.col("__later")).drop("__later")
 

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from musterline.functions.text import finite
 from musterline.operators.quantiles import exact_quantiles
-from musterline.operators.small_side import join_statistics
+from musterline.operators.small_side import collect_if_small, join_statistics, null_safe_join
 
 WHISKER_REACH = 1.5
 GRID_POINTS = 100
+POINTS_PER_RUN = 25
 
 
 def _finite_values(df: DataFrame, value: str, *keep: str) -> DataFrame:
@@ -128,35 +129,60 @@ def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) ->
 
     Bandwidth: sample deviation times n^(-1/5). A group of equal values has density 1 at that
     value. Every row meets only its own group's grid, and the partial sums leave at most
-    points x groups rows per task, so the rows themselves are never shuffled.
+    points x groups values per task, so the rows themselves are never shuffled.
     """
     values = _finite_values(df.where(F.col(group).isNotNull()), value, group)
+    deviation = F.stddev_samp("__x")
     stats = values.groupBy(group).agg(
         F.count(F.lit(1)).cast("double").alias("__n"),
         F.min("__x").alias("__lo"),
-        F.max("__x").alias("__hi"),
-        F.stddev_samp("__x").alias("__sd"),
+        ((F.max("__x") - F.min("__x")) / (points - 1)).alias("__step"),
+        (deviation * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("__h"),
     )
-    joined = join_statistics(values, stats, group)
-    at = F.col("__lo") + F.col("point") * ((F.col("__hi") - F.col("__lo")) / (points - 1))
-    bandwidth = F.col("__sd") * F.pow(F.col("__n"), F.lit(-0.2))
-    z = (at - F.col("__x")) / F.col("__h")
-    gridded = joined.withColumn("__h", bandwidth).withColumn(
-        "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    small = collect_if_small(stats)
+    stats = F.broadcast(small) if small is not None else stats
+    # In bandwidths: the distance from a value to the first grid point, and between grid points.
+    # Null for a group of equal values, whose step is zero.
+    width = F.when(F.col("__step") > 0, F.col("__h"))
+    scaled = null_safe_join(values, stats, [group], "inner").select(
+        group,
+        ((F.col("__lo") - F.col("__x")) / width).alias("__start"),
+        (F.col("__step") / width).alias("__stride"),
     )
-    constant = F.col("__lo") == F.col("__hi")
-    kernel = F.when(constant, F.lit(None).cast("double")).otherwise(F.exp(F.lit(-0.5) * z * z))
-    return (
-        gridded.groupBy(group, "point", "__n", "__lo", "__hi", "__h")
-        .agg(F.sum(kernel).alias("__sum"))
-        .select(
-            group,
-            "point",
-            at.alias("at"),
-            F.when(constant, F.lit(1.0))
-            .otherwise(F.col("__sum") / (F.col("__n") * F.col("__h") * math.sqrt(2 * math.pi)))
-            .alias("density"),
-        )
+    # A row is repeated once per run of neighbouring points, not once per point: the sums of a
+    # run are columns of one aggregation.
+    runs = math.ceil(points / POINTS_PER_RUN)
+    repeated = scaled.withColumn("__run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
+
+    def kernel(offset: int) -> Column:
+        point = F.col("__run") * POINTS_PER_RUN + offset
+        z = F.col("__start") + point * F.col("__stride")
+        return F.exp(F.lit(-0.5) * z * z)
+
+    offsets = range(POINTS_PER_RUN)
+    sums = repeated.groupBy(group, "__run").agg(
+        *[F.sum(kernel(offset)).alias(f"__sum{offset}") for offset in offsets]
+    )
+    by_point = sums.select(
+        group,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        (F.col("__run") * POINTS_PER_RUN + offset).alias("point"),
+                        F.col(f"__sum{offset}").alias("__sum"),
+                    )
+                    for offset in offsets
+                ]
+            )
+        ),
+    ).where(F.col("point") < points)
+    share = F.col("__sum") / (F.col("__n") * F.col("__h") * math.sqrt(2 * math.pi))
+    return null_safe_join(by_point, stats, [group], "inner").select(
+        group,
+        "point",
+        (F.col("__lo") + F.col("point") * F.col("__step")).alias("at"),
+        F.when(F.col("__step") > 0, share).otherwise(F.lit(1.0)).alias("density"),
     )
 
 
