@@ -4,7 +4,8 @@
 a first scan counts values per logarithmic bucket, which needs no bounds and combines on the map
 side; the counts show which buckets hold the wanted ranks. A second scan reads only the values of
 those buckets, a fraction of about 1 / BUCKETS_PER_E of the rows, and combines equal values before
-ranking them.
+ranking them. A bucket spans a tenth of a percent of its values: amounts in cents have at most 30,000
+distinct values in a bucket below 300,000, however many rows share them.
 """
 
 from __future__ import annotations

@@ -479,7 +479,7 @@ FROM roster""",
 
 # --- contracts ---------------------------------------------------------------------------------
 
-ORACLE["valid_email_check"] = """
+ORACLE["valid_email"] = """
 SELECT c_custkey, c_custkey % 5 IN (0, 1) AS valid FROM customer
 """
 _DATE_TEXTS = """
@@ -493,7 +493,7 @@ dates AS (
            WHEN 4 THEN strftime(o_orderdate, '%Y') || '-99-99' END AS text
   FROM orders
 )"""
-ORACLE["valid_date_shape_check"] = _with(
+ORACLE["valid_date_shape"] = _with(
     _DATE_TEXTS,
     query="""
 SELECT o_orderkey, coalesce(regexp_full_match(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}'), false) AS valid

@@ -33,7 +33,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__.rstrip("_")] = query
     return query
 
 
@@ -317,7 +317,7 @@ def directory_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register
-def valid_email_check(spark: SparkSession, folder: str) -> DataFrame:
+def valid_email_(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
     local = F.replace(F.lower("c_name"), F.lit("#"), F.lit("."))
     email = (
@@ -331,7 +331,7 @@ def valid_email_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register
-def valid_date_shape_check(spark: SparkSession, folder: str) -> DataFrame:
+def valid_date_shape_(spark: SparkSession, folder: str) -> DataFrame:
     return _date_texts(spark, folder).select(
         "o_orderkey", valid_date_shape(F.col("text")).alias("valid")
     )

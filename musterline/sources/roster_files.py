@@ -11,6 +11,7 @@ from musterline.errors import SourceError
 from musterline.model import PASCAL, ROSTER_SCHEMA, SNAKE, RosterColumns
 from musterline.operators.contracts import ENTITY, Contract, annotate
 from musterline.operators.reports import csv_rows
+from musterline.session import written
 
 # Files follow the common CSV rules: a quote inside a quoted field is doubled.
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -61,9 +62,15 @@ def read_raw_csv(
 def read_checked_csv(
     spark: SparkSession, path: str, contract: Contract = ENTITY, multiline: bool = False
 ) -> DataFrame:
-    """The file's rows annotated with the contract rules they break."""
-    contract = contract.using(columns=PASCAL)
-    return annotate(read_raw_csv(spark, path, PASCAL, multiline), contract)
+    """The file's rows annotated with the contract rules they break.
+
+    Finding duplicates compares input orders across jobs, and another job may split the files
+    differently when executors have come or gone. The rows are then written first.
+    """
+    raw = read_raw_csv(spark, path, PASCAL, multiline)
+    if contract.quarantine_duplicates:
+        raw = written(raw)
+    return annotate(raw, contract.using(columns=PASCAL))
 
 
 def file_headcount(spark: SparkSession, path: str) -> DataFrame:

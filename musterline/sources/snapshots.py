@@ -6,7 +6,7 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from musterline.errors import DuplicateKeyError
 from musterline.model import SNAKE, RosterColumns
@@ -48,16 +48,13 @@ def full_reload(
     started = time.perf_counter()
     name = uuid.uuid4().hex
     path = f"{base}/snapshots/{name}"
-    # Rows are counted while they are written: no second evaluation of df.
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if cluster_by:
-        counted = counted.sortWithinPartitions(cluster_by)
-    counted.write.parquet(path)
-    rows = seen.get["rows"]
+    (df.sortWithinPartitions(cluster_by) if cluster_by else df).write.parquet(path)
+    # Counted from the files, not from df: one evaluation, and what is counted is what is there.
+    stored = spark.read.schema(df.schema).parquet(path)
+    rows = stored.count()
     if rows == 0:
         return 0, 0.0
-    repeated = [row[0] for row in duplicate_keys(spark.read.parquet(path), columns).limit(20).collect()]
+    repeated = [row[0] for row in duplicate_keys(stored, columns).limit(20).collect()]
     if repeated:
         raise DuplicateKeyError(f"keys repeated: {', '.join(map(str, repeated))}")
     ledger = _ledger(spark, base)

@@ -111,8 +111,3 @@ def flatten_stream(
     annotated = flatten_users(users)
     writer = annotated.writeStream.format("parquet").outputMode("append").option("path", folder)
     return _start(writer, checkpoint, available_now)
-
-
-def with_ordinal(rows: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """Use the key's own order as input order, for sources whose keys ascend as they land."""
-    return rows.withColumn(ordinal, F.col(key))

@@ -74,6 +74,18 @@ def test_exact_quantiles_against_numpy(spark, max_rows):
     assert whole["q0"] == np.median(everything)
 
 
+def test_quantiles_of_extreme_magnitudes(spark):
+    rng = random.Random(8)
+    values = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(301)]
+    values += [0.0, -0.0, 5e-324, 1.7e308, -1.7e308, 1.0, 1.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    row = exact_quantiles(df, "v", [0.0, 1 / 307, 0.5, 100 / 307, 1.0]).first()
+    ranked = sorted(values)
+    assert row["n"] == 308 and row["q0"] == ranked[0] and row["q4"] == ranked[-1]
+    assert row["q1"] == ranked[1] and row["q3"] == pytest.approx(ranked[100])
+    assert row["q2"] == (ranked[153] + ranked[154]) / 2
+
+
 def test_quantile_plan_aggregates_by_hash_and_keeps_no_group_in_one_buffer(spark):
     df = spark.createDataFrame(hot_values(), "g string, v double")
     plan = exact_quantiles(df, "v", [0.5], by=["g"])._jdf.queryExecution().executedPlan().toString()

@@ -62,6 +62,15 @@ def test_csv_columns_go_by_header_name(spark, tmp_path):
     assert (row["EmployeeID"], row["Name"], row["Department"]) == ("1", "Ann", None)
 
 
+def test_checked_csv_with_duplicates(spark, tmp_path):
+    line = "1,Ann,HR,Lead,20000,2024-01-01,4"
+    path = write(tmp_path / "r.csv", HEADER, line, line.replace("1,Ann", "01,Other"), line)
+    rows = roster_files.read_checked_csv(spark, path, FRAME).orderBy("Ordinal").collect()
+    assert [(r["Name"], r["reasons"]) for r in rows] == [
+        ("Ann", []), ("Other", ["duplicate"]), ("Ann", ["duplicate"]),
+    ]
+
+
 def test_missing_csv_is_empty(spark, tmp_path):
     path = str(tmp_path / "none.csv")
     assert roster_files.read_checked_csv(spark, path).isEmpty()
