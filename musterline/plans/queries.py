@@ -41,6 +41,12 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.select(*SNAKE.base)
 
 
+def _written(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns an operator needs, written once: it scans them several times, and the joins
+    behind a roster view should not run again for each scan."""
+    return written(df.select(*columns))
+
+
 def _reason_text(df: DataFrame) -> DataFrame:
     return df.withColumn("reasons", F.concat_ws(",", "reasons"))
 
@@ -50,6 +56,9 @@ def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: round_half_up(F.col(name), digits) for name in names})
 
 
+_MEASURES = (SNAKE.salary, SNAKE.score, SNAKE.tenure)
+
+
 # --- sources -----------------------------------------------------------------------------------
 
 
@@ -162,7 +171,8 @@ def dept_summary_with_total(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def kpi_report_long(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.kpi_report(metrics.kpis(views.roster_with_tenure(spark, folder)))
+    rows = _written(views.roster_with_tenure(spark, folder), *_MEASURES)
+    return reports.kpi_report(metrics.kpis(rows))
 
 
 @register
@@ -436,7 +446,7 @@ def coerce_numeric(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def impute_median(spark: SparkSession, folder: str) -> DataFrame:
-    rows = views.damaged_roster(spark, folder).select(SNAKE.ordinal, SNAKE.salary)
+    rows = _written(views.damaged_roster(spark, folder), SNAKE.ordinal, SNAKE.salary)
     return _rounded(cleaning.impute_median(rows, SNAKE.salary), SNAKE.salary, digits=4)
 
 
@@ -454,7 +464,7 @@ def coerce_date(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def clean_roster(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = cleaning.clean_roster(views.damaged_roster(spark, folder))
+    cleaned = cleaning.clean_roster(written(views.damaged_roster(spark, folder)))
     return _rounded(cleaned, SNAKE.salary, digits=4)
 
 
@@ -463,18 +473,20 @@ def clean_roster(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.kpis(views.roster_with_tenure(spark, folder))
+    return metrics.kpis(_written(views.roster_with_tenure(spark, folder), *_MEASURES))
 
 
 @register
 def kpis_of_damaged(spark: SparkSession, folder: str) -> DataFrame:
-    # Written once: the indicators scan the cleaned rows three times.
-    return metrics.kpis(written(cleaning.clean_roster(views.damaged_roster(spark, folder))))
+    cleaned = cleaning.clean_roster(written(views.damaged_roster(spark, folder)))
+    return metrics.kpis(_written(cleaned, *_MEASURES))
 
 
 @register
 def kpis_nested(spark: SparkSession, folder: str) -> DataFrame:
-    nested = metrics.kpis_with_top_earners(views.roster_with_tenure(spark, folder))
+    rows = views.roster_with_tenure(spark, folder)
+    named = (*_MEASURES, SNAKE.id, SNAKE.name, SNAKE.department, SNAKE.ordinal)
+    nested = metrics.kpis_with_top_earners(_written(rows, *named))
     return nested.select(
         "Headcount",
         "MedianSalary",
@@ -593,7 +605,8 @@ _BOX = ("q1", "median", "q3", "whisker_low", "whisker_high")
 
 @register
 def salary_box_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = distributions.box_stats(views.roster(spark, folder), SNAKE.department, SNAKE.salary)
+    rows = _written(views.roster(spark, folder), SNAKE.department, SNAKE.salary)
+    stats = distributions.box_stats(rows, SNAKE.department, SNAKE.salary)
     return _rounded(stats, *_BOX)
 
 
@@ -612,7 +625,8 @@ def salary_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def salary_density(spark: SparkSession, folder: str) -> DataFrame:
-    grid = distributions.density(views.roster(spark, folder), SNAKE.department, SNAKE.salary)
+    rows = _written(views.roster(spark, folder), SNAKE.department, SNAKE.salary)
+    grid = distributions.density(rows, SNAKE.department, SNAKE.salary)
     return grid.select(
         SNAKE.department,
         "point",
@@ -624,7 +638,8 @@ def salary_density(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def salary_violin_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = distributions.violin_stats(views.roster(spark, folder), SNAKE.department, SNAKE.salary)
+    rows = _written(views.roster(spark, folder), SNAKE.department, SNAKE.salary)
+    stats = distributions.violin_stats(rows, SNAKE.department, SNAKE.salary)
     return _rounded(stats, "mean", "median", digits=4)
 
 

@@ -62,6 +62,12 @@ def test_csv_columns_go_by_header_name(spark, tmp_path):
     assert (row["EmployeeID"], row["Name"], row["Department"]) == ("1", "Ann", None)
 
 
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = write(tmp_path / "r.csv", HEADER, '1,"Ann\nLee",HR,Lead,20000,2024-01-01,4', "2,Bob,HR,Lead,20000,2024-01-01,4")
+    rows = roster_files.read_checked_csv(spark, path, multiline=True).orderBy("Ordinal").collect()
+    assert [(r["Name"], r["reasons"]) for r in rows] == [("Ann\nLee", []), ("Bob", [])]
+
+
 def test_checked_csv_with_duplicates(spark, tmp_path):
     line = "1,Ann,HR,Lead,20000,2024-01-01,4"
     path = write(tmp_path / "r.csv", HEADER, line, line.replace("1,Ann", "01,Other"), line)
