@@ -43,7 +43,8 @@ def is_true(predicate: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return is_true(F.length(strip(text)) > 0) == F.lit(False)
+    """Null counts as blank."""
+    return ~is_true(F.length(strip(text)) > 0)
 
 
 def valid_email(text: Column) -> Column:

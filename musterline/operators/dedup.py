@@ -34,8 +34,8 @@ def mark_duplicates(
         joined = df.join(F.broadcast(repeated), same_key, "left")
         duplicate = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
     else:
-        # Narrow and evenly spread over (key, order): hashing it spares sorting the wide rows.
-        marked = firsts.drop("__rows").withColumn("__is_first", F.lit(True)).hint("shuffle_hash")
+        # No hint: a sort-merge join spills, and adaptive execution hashes what it finds small.
+        marked = firsts.drop("__rows").withColumn("__is_first", F.lit(True))
         joined = df.join(marked, same_key & (F.col(order) == F.col("__first")), "left")
         duplicate = F.col("__is_first").isNull()
     return joined.withColumn(flag, duplicate).drop("__key", "__first", "__is_first")

@@ -15,6 +15,8 @@ from musterline.session import written
 
 # Files follow the common CSV rules: a quote inside a quoted field is doubled.
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+# All files of a folder share one header; one that differs is an error, not a shifted row.
+_SAME_HEADER = {"enforceSchema": False}
 
 
 def path_is_missing(error: AnalysisException) -> bool:
@@ -33,7 +35,7 @@ def read_raw_csv(
     """
     text_schema = T.StructType([T.StructField(name, T.StringType()) for name in columns.base])
     try:
-        raw = spark.read.options(**_CSV, multiLine=multiline).csv(path)
+        raw = spark.read.options(**_CSV, **_SAME_HEADER, multiLine=multiline).csv(path)
     except AnalysisException as error:
         if not path_is_missing(error):
             raise

@@ -77,6 +77,14 @@ def test_checked_csv_with_duplicates(spark, tmp_path):
     ]
 
 
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.csv", "EmployeeID,Name", "1,Ann")
+    write(tmp_path / "in" / "b.csv", "Name,EmployeeID", "Bob,2")
+    with pytest.raises(Exception, match="(?i)header"):
+        roster_files.read_raw_csv(spark, str(tmp_path / "in")).collect()
+
+
 def test_missing_csv_is_empty(spark, tmp_path):
     path = str(tmp_path / "none.csv")
     assert roster_files.read_checked_csv(spark, path).isEmpty()
