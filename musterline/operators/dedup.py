@@ -10,6 +10,35 @@ from musterline.operators.small_side import collect_if_small
 SMALL_KEYS = 500_000
 
 
+def _firsts(df: DataFrame, key: str, order: str) -> DataFrame:
+    return df.groupBy(F.col(key).alias("__key")).agg(
+        F.min(order).alias("__first"), F.count(F.lit(1)).alias("__rows")
+    )
+
+
+def repeated_keys(
+    df: DataFrame, key: str, order: str, max_rows: int = SMALL_KEYS
+) -> DataFrame | None:
+    """Keys with more than one row and their lowest order, as literals; None if they are many."""
+    repeated = _firsts(df, key, order).where("__rows > 1").drop("__rows")
+    return collect_if_small(repeated, max_rows)
+
+
+def _flag_later(
+    df: DataFrame, key: str, order: str, flag: str, repeated: DataFrame | None
+) -> DataFrame:
+    same_key = F.col(key).eqNullSafe(F.col("__key"))
+    if repeated is not None:
+        joined = df.join(F.broadcast(repeated), same_key, "left")
+        later = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
+    else:
+        # No hint: a sort-merge join spills, and adaptive execution hashes what it finds small.
+        firsts = _firsts(df, key, order).drop("__rows").withColumn("__is_first", F.lit(True))
+        joined = df.join(firsts, same_key & (F.col(order) == F.col("__first")), "left")
+        later = F.col("__is_first").isNull()
+    return joined.withColumn(flag, later).drop("__key", "__first", "__is_first")
+
+
 def mark_duplicates(
     df: DataFrame,
     key: str,
@@ -25,25 +54,25 @@ def mark_duplicates(
     rows stay where they are. Otherwise rows meet their key's lowest order on (key, order), which
     spreads the rows of any key evenly.
     """
-    firsts = df.groupBy(F.col(key).alias("__key")).agg(
-        F.min(order).alias("__first"), F.count(F.lit(1)).alias("__rows")
-    )
-    repeated = collect_if_small(firsts.where("__rows > 1").drop("__rows"), max_rows)
-    same_key = F.col(key).eqNullSafe(F.col("__key"))
-    if repeated is not None:
-        joined = df.join(F.broadcast(repeated), same_key, "left")
-        duplicate = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
-    else:
-        # No hint: a sort-merge join spills, and adaptive execution hashes what it finds small.
-        marked = firsts.drop("__rows").withColumn("__is_first", F.lit(True))
-        joined = df.join(marked, same_key & (F.col(order) == F.col("__first")), "left")
-        duplicate = F.col("__is_first").isNull()
-    return joined.withColumn(flag, duplicate).drop("__key", "__first", "__is_first")
+    return _flag_later(df, key, order, flag, repeated_keys(df, key, order, max_rows))
+
+
+def keep_first_given(
+    df: DataFrame, key: str, order: str, repeated: DataFrame | None
+) -> DataFrame:
+    """:func:`keep_first` with the result of :func:`repeated_keys` at hand."""
+    flagged = _flag_later(df, key, order, "__later", repeated)
+    return flagged.where(~F.col("__later")).drop("__later")
 
 
 def keep_first(df: DataFrame, key: str, order: str, max_rows: int = SMALL_KEYS) -> DataFrame:
     """The row with the lowest ``order`` of every key, found like :func:`mark_duplicates`."""
-    return mark_duplicates(df, key, order, "__later", max_rows).where(~F.col("__later")).drop("__later")
+    return keep_first_given(df, key, order, repeated_keys(df, key, order, max_rows))
+
+
+def first_values(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """Per key, ``value`` in the row with the lowest ``order``: one narrow aggregation."""
+    return df.groupBy(key).agg(F.min_by(value, order).alias(value))
 
 
 def one_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:

@@ -60,7 +60,8 @@ def test_one_per_key_survives_ties(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_median_is_that_of_the_rows_kept(spark):
+@pytest.mark.parametrize("max_rows", [100, 0])
+def test_median_is_that_of_the_rows_kept(spark, max_rows):
     rows = [
         (1, "a", "HR", "x", 10.0, "2024-05-01", 5.0, 0),
         (1, "a", "HR", "x", 99.0, "2024-05-01", 5.0, 1),
@@ -75,7 +76,8 @@ def test_median_is_that_of_the_rows_kept(spark):
         "employee_id bigint, name string, department string, designation string, salary double, "
         "joining_date string, performance_score double, ordinal bigint"
     )
-    cleaned = cleaning.clean_roster(spark.createDataFrame(rows, schema)).orderBy("ordinal").collect()
+    df = spark.createDataFrame(rows, schema)
+    cleaned = cleaning.clean_roster(df, max_rows=max_rows).orderBy("ordinal").collect()
     assert [r["ordinal"] for r in cleaned] == [0, 2, 3, 4, 6, 7]
     # median of 10, 20.01, 30, 40
     median = (20.01 + 30.0) / 2
