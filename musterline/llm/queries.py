@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from musterline.llm.byte_bpe import op3_byte_bpe
 from musterline.llm.ngram_jaccard_join import op1_ngram_jaccard_join
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_byte_bpe": op3_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
