@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from musterline.llm.text_hashing import slices
+from musterline.llm.text_hashing import slices, with_fields
 
 #: Pieces that a worker remembers; when full, it starts anew. About 150 bytes each.
 REMEMBERED = 400_000
@@ -243,7 +243,7 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
             del lists
             yield pa.record_batch([*part.columns, column], names=[*part.schema.names, ids])
 
-    return kept.mapInArrow(encoded, kept.schema.add(ids, "array<int>"))
+    return kept.mapInArrow(encoded, with_fields(kept.schema, f"`{ids}` array<int>"))
 
 
 def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -265,7 +265,7 @@ def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded
                 texts = [b"".join([tokens[i] for i in x]) if x else b"" for x in part.column(ids).to_pylist()]
                 yield pa.record_batch([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, decoded])
 
-    return kept.mapInArrow(decoding, kept.schema.add(decoded, "binary"))
+    return kept.mapInArrow(decoding, with_fields(kept.schema, f"`{decoded}` binary"))
 
 
 def encoded_and_decoded(spark: SparkSession, docs: DataFrame, rank_file: str | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import types as T
 
 _PIECE = 1 << 20
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -152,3 +153,8 @@ def list_array(parts: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.Ar
     np.cumsum([len(p) for p in parts], out=offsets[1:])
     flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat, kind))
+
+
+def with_fields(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` and further columns."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(ddl).fields])
