@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,7 +25,12 @@ from musterline.llm.text_hashing import slices, with_fields
 #: Pieces that a worker remembers; when full, it starts anew. About 150 bytes each.
 REMEMBERED = 400_000
 _NONE = 1 << 40
-_LOOSE = re.compile(r"^ |\s | \s| $").search
+_RUN = re.compile(r"\s\s").search
+
+
+def _loose(text: str) -> bool:
+    """Whether a space may meet other white space or an end of the text."""
+    return not text or text[0] == " " or text[-1] == " " or _RUN(text) is not None
 
 
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -181,8 +187,8 @@ class Encoder:
         cuts = [0, *np.cumsum(live.sum(axis=1)).tolist()]
         return [tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text; null has none.
+    def encode(self, texts: list[str | None]) -> list[list[tuple[int, ...]]]:
+        """Ids of each text in portions; null has none.
 
         A space between two other characters that are no white space begins a match of the pattern, so
         what lies between such spaces is encoded and remembered on its own. A text in which a space
@@ -192,7 +198,7 @@ class Encoder:
         for held in (known, spaced):
             if len(held) > REMEMBERED:
                 held.clear()
-        parts = [[None, t] if not t or _LOOSE(t) else t.split(" ") for t in texts]
+        parts = [[None, t] if not t or _loose(t) else t.split(" ") for t in texts]
         loose = [p[0] is None for p in parts]
         heads = [split((p[1] if alone else p[0]) or "") for p, alone in zip(parts, loose)]
         new = {x for p, alone in zip(parts, loose) if not alone for x in p[1:]} - spaced.keys()
@@ -206,7 +212,7 @@ class Encoder:
             found = [known[x] for x in head]
             if not alone:
                 found += map(spaced.__getitem__, p[1:])
-            ids.append(list(chain.from_iterable(found)))
+            ids.append(found)
         return ids
 
 
@@ -234,13 +240,14 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
         encoder = _encoder(sent, pattern)
         for part in slices(batches, text):
             gc.disable()  # many small tuples and no cycles: nothing to collect here
-            lists = encoder.encode(part.column(text).to_pylist())
+            found = encoder.encode(part.column(text).to_pylist())
+            offsets = np.zeros(len(found) + 1, np.int32)
+            np.cumsum([sum(map(len, x)) for x in found], out=offsets[1:])
+            portions = chain.from_iterable(chain.from_iterable(found))
+            flat = np.fromiter(portions, np.int32, int(offsets[-1]))
+            del found, portions
             gc.enable()
-            offsets = np.zeros(len(lists) + 1, np.int32)
-            np.cumsum([len(x) for x in lists], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            del lists
             yield pa.record_batch([*part.columns, column], names=[*part.schema.names, ids])
 
     return kept.mapInArrow(encoded, with_fields(kept.schema, f"`{ids}` array<int>"))
@@ -251,19 +258,30 @@ def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded
 
     All columns stay; one that is already called ``decoded`` is replaced.
     """
-    table: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
+    table = [b""] * (max(ranks.values(), default=-1) + 2)
     for token, rank in ranks.items():
         table[rank] = token
-    sent = df.sparkSession.sparkContext.broadcast(table)
+    lengths = np.array([len(t) for t in table])
+    sent = df.sparkSession.sparkContext.broadcast((b"".join(table), lengths, np.cumsum(lengths) - lengths))
     kept = df.drop(decoded)
 
     def decoding(batches):
-        tokens = sent.value
+        joined, lengths, starts = sent.value
+        joined = np.frombuffer(joined, np.uint8)
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                texts = [b"".join([tokens[i] for i in x]) if x else b"" for x in part.column(ids).to_pylist()]
-                yield pa.record_batch([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, decoded])
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                lists = pc.fill_null(part.column(ids), pa.scalar([], part.column(ids).type))
+                bounds = lists.offsets.to_numpy()
+                found = lists.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
+                size = lengths[found]
+                ends = np.zeros(len(found) + 1, np.int64)
+                np.cumsum(size, out=ends[1:])
+                data = joined[np.arange(ends[-1]) + np.repeat(starts[found] - ends[:-1], size)]
+                texts = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds - bounds[0]]), pa.py_buffer(data)]
+                ).cast(pa.binary())
+                yield pa.record_batch([*part.columns, texts], names=[*part.schema.names, decoded])
 
     return kept.mapInArrow(decoding, with_fields(kept.schema, f"`{decoded}` binary"))
 
