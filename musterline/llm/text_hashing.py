@@ -42,9 +42,11 @@ class Words:
         values = mix(np.arange(1, 257, dtype=np.uint64) * _SEED) | np.uint64(1)
         self.value = np.where(self.separator, np.uint64(0), values[_lowered()])
 
-    def hashes(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def hashes(self, data: np.ndarray, bounds: np.ndarray, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Word hashes of all texts in order, and the text bounds in units of words.
 
+        With ``first``, the hash is that of a word's first bytes, as many as that.
+
         ``bounds`` are the byte bounds of the texts, first to last. The buffer is worked through
         in pieces that end at separators, so one very long text needs no more memory per byte
         than many short ones.
@@ -57,7 +59,7 @@ class Words:
             while stop < limit and not self.separator[data[stop]]:
                 ahead = self.separator[data[stop : min(limit, stop + 4096)]]
                 stop += int(ahead.argmax()) if ahead.any() else len(ahead)
-            found, where = self._piece(data[at:stop], bounds, at)
+            found, where = self._piece(data[at:stop], bounds, at, first)
             hashes.append(found)
             starts.append(where)
             at = stop
@@ -65,7 +67,7 @@ class Words:
         all_hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         return all_hashes, np.searchsorted(all_starts, bounds)
 
-    def _piece(self, data: np.ndarray, bounds: np.ndarray, at: int):
+    def _piece(self, data: np.ndarray, bounds: np.ndarray, at: int, most: int | None):
         in_word = ~self.separator[data]
         first = in_word.copy()
         first[1:] &= ~in_word[:-1]
@@ -81,6 +83,8 @@ class Words:
         powers[0] = 1
         powers = np.cumprod(powers, dtype=np.uint64)
         weighted = self.value[data] * powers[place]
+        if most is not None:
+            weighted[place >= most] = 0
         return mix(np.add.reduceat(weighted, starts)), starts + at
 
 
