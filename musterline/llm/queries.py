@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from musterline.llm.byte_bpe import op3_byte_bpe
 from musterline.llm.language_id import op7_language_id
+from musterline.llm.license_scan import op5_license_scan
 from musterline.llm.ngram_jaccard_join import op1_ngram_jaccard_join
+from musterline.llm.pii import op6_pii
 from musterline.llm.quality_classifier import op8_quality_classifier
 from musterline.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_license_scan": op5_license_scan,
+    "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_toxicity": op10_toxicity,
