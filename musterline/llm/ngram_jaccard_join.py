@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from musterline.llm.components import connected_components
+from musterline.llm.decontamination import sized
 from musterline.llm.text_hashing import SPACED, combine, list_array, shingle_sets, slices, text_bytes
 from musterline.session import written
 
@@ -301,8 +302,8 @@ def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def keep_one_per_group(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the documents that are not the first of their component; columns unchanged."""
     groups = ngram_jaccard_components(docs, k, num, den)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(sized(gone), "doc_id", "left_anti").select(*docs.columns)
 
 
 def stage_ngram_jaccard_join(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

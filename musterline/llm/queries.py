@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from musterline.llm.ann_prefix_forest import op4_ann_prefix_forest
 from musterline.llm.byte_bpe import op3_byte_bpe
+from musterline.llm.decontamination import op2_benchmark_decontamination
 from musterline.llm.language_id import op7_language_id
 from musterline.llm.license_scan import op5_license_scan
 from musterline.llm.ngram_jaccard_join import op1_ngram_jaccard_join
@@ -14,6 +15,7 @@ from musterline.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ann_prefix_forest": op4_ann_prefix_forest,
     "op5_license_scan": op5_license_scan,
