@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from musterline.llm.text_hashing import SPACED, slices, text_bytes, with_fields
+from musterline.session import written
 
 #: Documents that the scorer is fitted on: so many of each posterior label, by hash of the text.
 SAMPLE_PER_CLASS = 2_500
@@ -180,54 +181,43 @@ def fit_quality(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def voted(batches):
         for part in slices(batches, text):
-            yield pa.record_batch([pa.array(votes(describe(part.column(text))[0])), part.column(text)], names=["pattern", "text"])
+            yield pa.record_batch([pa.array(votes(describe(part.column(text))[0])), part.column("h")], names=["pattern", "h"])
 
+    texts = docs.select(F.col(text).cast("string").alias(text)).where(F.length(text) > 0).withColumn("h", F.crc32(text))
     # Votes of all documents; only the counts per pattern are gathered.
-    def counted(batches):
-        for batch in voted(batches):
-            found, rows = np.unique(batch.column("pattern").to_numpy(), return_counts=True)
-            yield pa.record_batch([pa.array(found), pa.array(rows)], names=["pattern", "rows"])
-
-    texts = docs.select(F.col(text).cast("string").alias(text)).where(F.length(text) > 0)
-    table = texts.mapInArrow(counted, "pattern long, rows long").groupBy("pattern").agg(F.sum("rows").alias("rows")).orderBy("pattern").toArrow()
+    voted_on = written(texts.mapInArrow(voted, "pattern long, h long"))
+    table = voted_on.groupBy("pattern").agg(F.count(F.lit(1)).alias("rows")).orderBy("pattern").toArrow()
     width = 1 + len(FEATURES) + DIMENSIONS
     if not table.num_rows:
         return np.zeros(width)
     patterns, rows = table.column("pattern").to_numpy(), table.column("rows").to_numpy()
     low = expectation_maximisation(patterns, rows)
-    sent = docs.sparkSession.sparkContext.broadcast((patterns, low))
-
-    def labelled(batches):
-        patterns, low = sent.value
-        for batch in voted(batches):
-            p = low[np.searchsorted(patterns, batch.column("pattern").to_numpy())]
-            text_hash = pa.array([hash_text(t) for t in batch.column("text").to_pylist()])
-            yield pa.record_batch([pa.array(p), pa.array(p >= 0.5), text_hash, batch.column("text")], names=["p", "is_low", "h", "text"])
-
-    # The rank filter keeps only the first rows of each map task before the shuffle.
-    ranked = texts.mapInArrow(labelled, "p double, is_low boolean, h long, text string")
-    rank = F.row_number().over(Window.partitionBy("is_low").orderBy("h", "text"))
-    sample = ranked.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_PER_CLASS).select("p", "is_low", "text")
+
+    # The sample: distinct hashes first, so a text with many copies counts once.
+    bad = F.col("pattern").isin([int(p) for p in patterns[low >= 0.5]])
+    chosen = [
+        voted_on.where(bad if is_low else ~bad).select("h").distinct().orderBy("h").limit(SAMPLE_PER_CLASS) for is_low in (False, True)
+    ]
+    chosen = F.broadcast(chosen[0].unionByName(chosen[1]).distinct())
+    sample = texts.join(chosen, "h", "left_semi").groupBy("h").agg(F.min(text).alias(text))
     class_rows = np.array([rows[low < 0.5].sum(), rows[low >= 0.5].sum()], float)
 
     def fitted(table):
-        x, p, is_low = [], table.column("p").to_numpy(), table.column("is_low").to_numpy(zero_copy_only=False).astype(int)
-        for part in slices(table.to_batches(), "text"):
-            x.append(_design(*describe(part.column("text"))))
+        x, p = [], []
+        for part in slices(table.sort_by("h").to_batches(), text):
+            seen, hist = describe(part.column(text))
+            x.append(_design(seen, hist))
+            at = np.minimum(np.searchsorted(patterns, votes(seen)), len(patterns) - 1)
+            p.append(low[at])
+        p = np.concatenate(p)
+        is_low = (p >= 0.5).astype(int)
         sampled = np.maximum(np.bincount(is_low, minlength=2), 1)
         weight = np.minimum(class_rows / sampled, class_rows.sum() / sampled.sum())[is_low]
-        weight = weight / weight.mean()
-        return pa.table({"w": fit_linear(np.concatenate(x), 1 - p, weight)})
+        return pa.table({"w": fit_linear(np.concatenate(x), 1 - p, weight / weight.mean())})
 
     return sample.groupBy(F.lit(0).alias("one")).applyInArrow(fitted, "w double").toArrow().column("w").to_numpy()
 
 
-def hash_text(text: str) -> int:
-    import zlib
-
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
-
-
 def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text", score: str = "quality_score") -> DataFrame:
     """``docs`` with the probability that a text is fine (0 for a null or empty one).
 
