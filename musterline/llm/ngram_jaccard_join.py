@@ -120,6 +120,8 @@ def frequent_shingles(docs: DataFrame, text: str, k: int, tasks: int) -> np.ndar
         got = list(counted(table.to_batches()))
         tokens = np.concatenate([t for t, _ in got])
         counts = np.concatenate([c for _, c in got])
+        if not len(tokens):
+            return pa.table({"token": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
         order = np.argsort(tokens)
         tokens, counts = tokens[order], counts[order].astype(np.int64)
         first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
