@@ -31,10 +31,10 @@ from musterline.session import written
 #: Sets up to this size may become small ones; beyond it subsets are too many for any threshold here.
 MOST_SMALL = 40
 #: A shingle of so many documents counts as frequent: it comes last when the lists to scan are chosen.
-FREQUENT = 48
+FREQUENT = 6
 #: At most so many frequent shingles (16 bytes each) are sent to the tasks; the bound on FREQUENT is
 #: raised until they fit. It only decides an order: the result does not depend on it.
-MOST_FREQUENT = 1 << 20
+MOST_FREQUENT = 1 << 21
 #: Frequent shingles are told by these bits of their hashes: two that share them count together, which
 #: may change the order, not the result, and saves a quarter of the shuffle.
 _COUNTED = np.uint64((1 << 48) - 1)
@@ -294,21 +294,24 @@ def ngram_jaccard_components(
     links = [_subset_links(reps, bound, num, den)]
 
     # A set can hold its partners only among those of a similar size: small ones near the boundary scan too.
-    postings = reps.where(F.col("n") * den >= num * (bound + 1)).select("key", "n", "rare", F.explode("prefix").alias("token"))
-    lists = postings.groupBy("token").agg(F.min(F.struct("rare", "n", "key")).alias("hub"), F.count(F.lit(1)).alias("members"))
+    postings = reps.where(F.col("n") * den >= num * (bound + 1)).select("key", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    lists = postings.groupBy("token").agg(F.min(F.struct("rare", "n", "key", "pos")).alias("hub"), F.count(F.lit(1)).alias("members"))
     shared = written(postings.join(lists.where("members > 1").select("token", "hub"), "token"))
-    fits = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num)
-    to_hub = shared.where(F.col("key") != F.col("hub.key")).withColumn("n2", F.col("hub.n")).where(fits)
+    # Two sets that must share c shingles share one of the first n - c + 1 of either: fewer of them the
+    # more alike their sizes are.
+    needed = F.floor((num * (F.col("n") + F.col("n2")) + (num + den - 1)) / (num + den))
+    fits = (F.col("pos") + needed <= F.col("n")) & (F.col("pos2") + needed <= F.col("n2"))
+    to_hub = shared.where(F.col("key") != F.col("hub.key")).withColumns({"n2": F.col("hub.n"), "pos2": F.col("hub.pos")}).where(fits)
     to_hub = to_hub.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
     first = written(links[0].unionByName(_verified(written(_plausible(to_hub, reps, num, den)), docs, key, text, k, num, den)))
     found = connected_components(first)
 
     # The rest: pairs of a list that are in different components so far.
-    grouped = shared.select("token", "key", "n").join(found.withColumnRenamed("node", "key"), "key", "left")
+    grouped = shared.select("token", "key", "n", "pos").join(found.withColumnRenamed("node", "key"), "key", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "key"))
     mixed = grouped.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     grouped = written(grouped.join(mixed.select("token"), "token", "left_semi"))
-    other = grouped.select("token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
+    other = grouped.select("token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("component").alias("component2"))
     pairs = grouped.join(other, "token").where((F.col("component") < F.col("component2")) & fits)
     pairs = pairs.select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct()
     tried = to_hub.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
