@@ -12,13 +12,14 @@ def money(amount: Column) -> Column:
 
     Four digits hold the half cent that a median of two amounts can have, and keep the decimal
     within one machine word. Its sum has 28 digits, enough for 10^12 rows of any legal salary.
+    An amount of 10^14 or more is unusable: null, so it takes no part in sums and means.
     """
-    return amount.cast("decimal(18,4)")
+    return amount.try_cast("decimal(18,4)")
 
 
 def round_half_up(value: Column, digits: int = 2) -> Column:
-    """Round through a decimal, so that 1.005 becomes 1.01 on every engine."""
-    return F.round(value.cast("decimal(28,8)"), digits).cast("double")
+    """Round through a decimal, so that 1.005 becomes 1.01 on every engine; beyond 10^20 there is nothing to round."""
+    return F.coalesce(F.round(value.try_cast("decimal(28,8)"), digits).cast("double"), value.cast("double"))
 
 
 def rounded_sum(amount: Column) -> Column:
@@ -27,7 +28,7 @@ def rounded_sum(amount: Column) -> Column:
 
 def exact_mean(amount: Column) -> Column:
     total = F.sum(money(amount)).cast("double")
-    return F.try_divide(total, F.count(amount))
+    return F.try_divide(total, F.count(money(amount)))
 
 
 def rounded_mean(amount: Column) -> Column:

@@ -48,8 +48,17 @@ def insert_batch(table: DataFrame, batch: DataFrame, columns: RosterColumns = SN
     return table.unionByName(batch)
 
 
-def new_rows(table: DataFrame, batch: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
-    """The rows of ``batch`` that :func:`insert_batch` would accept one by one."""
+def new_rows(
+    table: DataFrame, batch: DataFrame, columns: RosterColumns = SNAKE, order: str | None = None
+) -> DataFrame:
+    """The rows of ``batch`` that :func:`insert_batch` would accept one by one.
+
+    Of a repeated key the first row by ``order`` goes in (without it, by a hash of the row); a row
+    without a key never does.
+    """
+    batch = batch.where(F.col(columns.id).isNotNull())
+    first = F.col(order) if order else F.xxhash64(*batch.columns)
+    batch = one_per_key(batch, columns.id, first).select(*batch.columns)
     return batch.join(_held_keys(table, batch, columns.id), columns.id, "left_anti")
 
 

@@ -53,8 +53,9 @@ def impute_median(df: DataFrame, name: str, measured: DataFrame | None = None) -
 
 
 def impute_constant(df: DataFrame, name: str, value: float = SCORE_DEFAULT) -> DataFrame:
-    """Replace nulls by a constant and truncate to whole numbers."""
-    return df.withColumn(name, F.coalesce(F.col(name), F.lit(value)).cast("int"))
+    """Replace nulls, and numbers beyond the range of an int, by a constant; truncate the others."""
+    whole = F.lit(value).cast("int")
+    return df.withColumn(name, F.coalesce(F.col(name).try_cast("int"), whole))
 
 
 def clean_roster(

@@ -30,11 +30,13 @@ def _flag_later(
     same_key = F.col(key).eqNullSafe(F.col("__key"))
     if repeated is not None:
         joined = df.join(F.broadcast(repeated), same_key, "left")
-        later = F.coalesce(F.col(order) > F.col("__first"), F.lit(False))
+        later = F.coalesce(
+            F.col(order) > F.col("__first"), F.col(order).isNull() & F.col("__first").isNotNull()
+        )
     else:
         # No hint: a sort-merge join spills, and adaptive execution hashes what it finds small.
         firsts = _firsts(df, key, order).drop("__rows").withColumn("__is_first", F.lit(True))
-        joined = df.join(firsts, same_key & (F.col(order) == F.col("__first")), "left")
+        joined = df.join(firsts, same_key & F.col(order).eqNullSafe(F.col("__first")), "left")
         later = F.col("__is_first").isNull()
     return joined.withColumn(flag, later).drop("__key", "__first", "__is_first")
 
@@ -48,7 +50,8 @@ def mark_duplicates(
 ) -> DataFrame:
     """Add ``flag``: true for every row of a key but the one with the lowest ``order``.
 
-    Null keys count as one key. ``order`` must be unique within a key. A window over the key would
+    Null keys count as one key. A null ``order`` comes after all others. Rows that tie for the first
+    place are all unmarked, so ``order`` should be unique within a key. A window over the key would
     bring all rows of a key into one task; instead the lowest order per key is found by
     aggregation. When few keys repeat (checked by a job at call time) they are broadcast and the
     rows stay where they are. Otherwise rows meet their key's lowest order on (key, order), which

@@ -42,7 +42,8 @@ def flatten_users(users: DataFrame) -> DataFrame:
 
     departments = F.array(*[F.lit(name) for name in DEPARTMENTS])
     rows = users.select(
-        (user_id + PAYLOAD_KEY_OFFSET).alias(SNAKE.id),
+        # A sum beyond the range is null, and the row is rejected for it.
+        F.try_add(user_id, F.lit(PAYLOAD_KEY_OFFSET)).alias(SNAKE.id),
         F.col("name").alias(SNAKE.name),
         F.get(departments, cycle(len(DEPARTMENTS))).alias(SNAKE.department),
         designation_of(F.col("company.bs")).alias(SNAKE.designation),

@@ -79,8 +79,8 @@ def resolve_feeds(
     """One row per feed name: its landed data, or its default data with status ``fallback``.
 
     ``landed`` has (feed, data) and, if a feed can land more than once, the ``order`` column whose
-    highest value wins. A feed without default data falls back to an empty object. ``epoch``
-    completes the default of the time feed.
+    highest value wins. A feed whose landing is no JSON falls back too; one without default data
+    falls back to an empty object. ``epoch`` completes the default of the time feed.
     """
     spark = landed.sparkSession
     defaults = []
@@ -97,6 +97,7 @@ def resolve_feeds(
         last = present.groupBy("feed").agg(F.max(order).alias(order))
         present = present.join(F.broadcast(last), ["feed", order], "left_semi")
     present = present.groupBy("feed").agg(F.max("data").alias("__landed"))
+    present = present.where(F.try_parse_json("__landed").isNotNull())
     # At most one row per requested name.
     return spine.join(F.broadcast(present), "feed", "left").select(
         "feed",

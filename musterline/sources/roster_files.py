@@ -84,7 +84,9 @@ def write_csv(df: DataFrame, path: str, columns: RosterColumns = SNAKE) -> None:
     """Export header and rows. The folder is complete once Spark has put _SUCCESS into it."""
     text = csv_rows(df, columns)
     header = dict(zip(columns.base, PASCAL.base))
-    text.withColumnsRenamed(header).write.options(**_CSV).csv(path)
+    text.withColumnsRenamed(header).write.options(
+        **_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
