@@ -37,7 +37,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
 def test_query_equals_its_sql(spark, database, name):
     df = spark_entry.queries()[name](spark, FOLDER)
     result = database.execute(spark_entry.oracle_sql()[name])
@@ -50,7 +50,9 @@ def test_query_equals_its_sql(spark, database, name):
 
 
 def test_every_query_has_its_sql_and_rows():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    # Some corpus queries have no SQL; tests/llm hold those against brute force.
+    plain = {n for n in spark_entry.queries() if not n.startswith("op") and n != "pipeline"}
+    assert plain <= set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
 def test_entry(spark):
