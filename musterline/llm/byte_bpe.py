@@ -4,15 +4,14 @@ Every match of the split pattern is encoded on its own. Its bytes are the leaves
 a leaf holds the rank of the pair that starts at that byte and ends with the next live token, an
 inner node the smallest rank below and its leftmost place. A merge takes the root, drops the right
 token's leaf and renews at most two leaves, each in logarithmic time. Pieces recur, so every Python
-worker remembers a bounded number of them.
+worker remembers the ids of pieces, as bytes, within a memory bound.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import re
-from itertools import chain
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +21,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from musterline.llm.text_hashing import slices, with_fields
 
-#: Pieces that a worker remembers; when full, it starts anew. About 150 bytes each.
-REMEMBERED = 400_000
+#: About so many bytes of pieces and their ids are remembered by a worker; when full, it starts anew.
+REMEMBERED = 96 << 20
+#: What an entry takes besides its characters and ids.
+_ENTRY = 250
+#: Segment trees that take their steps together.
+ROWS = 4096
+#: Ids that are decoded at a time.
+DECODED = 1 << 18
 _NONE = 1 << 40
 _RUN = re.compile(r"\s\s").search
 
@@ -43,8 +48,10 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.spaced: dict[str, tuple[int, ...]] = {}
+        # Ids are kept as the bytes of int32 numbers.
+        self.known: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
+        self.held = 0
         # Every way to make a token of two tokens, as sorted pairs of ids.
         made = {
             ranks[token[:i]] << 32 | ranks[token[i:]]: rank
@@ -114,24 +121,30 @@ class Encoder:
         return ids
 
     def merge_all(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        """:meth:`merge` for many pieces at once, one row of arrays for each.
+        """:meth:`merge` for many pieces at once."""
+        return [tuple(np.frombuffer(ids, np.int32).tolist()) for ids in self._merged(pieces)]
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of many pieces, one row of arrays for each piece.
 
         The rows' segment trees take their steps together: per turn every unfinished row makes its
         next merge, and the changed leaves climb their trees level by level.
         """
-        out: list[tuple[int, ...] | None] = [None] * len(pieces)
+        out: list[bytes] = [b""] * len(pieces)
         by_width: dict[int, list[int]] = {}
         for i, piece in enumerate(pieces):
             whole = self.ranks.get(piece)
             if whole is not None:
-                out[i] = (whole,)
+                out[i] = whole.to_bytes(4, sys.byteorder)
             elif len(piece) > 64:
-                out[i] = tuple(self.merge(piece))
+                out[i] = np.array(self.merge(piece), np.int32).tobytes()
             else:
                 by_width.setdefault(1 << (len(piece) - 1).bit_length(), []).append(i)
         for width, places in by_width.items():
-            for i, ids in zip(places, self._merge_rows([pieces[i] for i in places], width)):
-                out[i] = ids
+            for start in range(0, len(places), ROWS):
+                part = places[start : start + ROWS]
+                for i, ids in zip(part, self._merge_rows([pieces[i] for i in part], width)):
+                    out[i] = ids
         return out
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -139,7 +152,7 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
         return np.where(self.pairs[at] == keys, self.pair_rank[at], _NONE)
 
-    def _merge_rows(self, pieces: list[bytes], width: int) -> list[tuple[int, ...]]:
+    def _merge_rows(self, pieces: list[bytes], width: int) -> list[bytes]:
         rows, shift = len(pieces), width.bit_length() - 1
         n = np.array([len(p) for p in pieces])
         inside = np.arange(width) < n[:, None]
@@ -183,37 +196,37 @@ class Encoder:
             for _ in range(shift):
                 nodes >>= 1
                 flat[of + nodes] = np.minimum(flat[of + 2 * nodes], flat[of + 2 * nodes + 1])
-        ids = token[:, :-1][live].tolist()
-        cuts = [0, *np.cumsum(live.sum(axis=1)).tolist()]
-        return [tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
+        ids = token[:, :-1][live].astype(np.int32).tobytes()
+        cuts = [0, *(4 * np.cumsum(live.sum(axis=1))).tolist()]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def encode(self, texts: list[str | None]) -> list[list[tuple[int, ...]]]:
-        """Ids of each text in portions; null has none.
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as the bytes of int32 numbers; null has none.
 
         A space between two other characters that are no white space begins a match of the pattern, so
         what lies between such spaces is encoded and remembered on its own. A text in which a space
         meets other white space is split by the pattern as a whole.
         """
         known, spaced, split = self.known, self.spaced, self.split
-        for held in (known, spaced):
-            if len(held) > REMEMBERED:
-                held.clear()
+        if self.held > REMEMBERED:
+            known.clear()
+            spaced.clear()
+            self.held = 0
         parts = [[None, t] if not t or _loose(t) else t.split(" ") for t in texts]
         loose = [p[0] is None for p in parts]
         heads = [split((p[1] if alone else p[0]) or "") for p, alone in zip(parts, loose)]
         new = {x for p, alone in zip(parts, loose) if not alone for x in p[1:]} - spaced.keys()
         cut = {x: split(" " + x) for x in new}
         pieces = list(({x for xs in cut.values() for x in xs} | {x for xs in heads for x in xs}) - known.keys())
-        known.update(zip(pieces, self.merge_all([p.encode("utf-8") for p in pieces])))
+        merged = self._merged([p.encode("utf-8") for p in pieces])
+        known.update(zip(pieces, merged))
         for x, xs in cut.items():
-            spaced[x] = known[xs[0]] if len(xs) == 1 else tuple(chain.from_iterable([known[y] for y in xs]))
-        ids = []
-        for p, alone, head in zip(parts, loose, heads):
-            found = [known[x] for x in head]
-            if not alone:
-                found += map(spaced.__getitem__, p[1:])
-            ids.append(found)
-        return ids
+            spaced[x] = known[xs[0]] if len(xs) == 1 else b"".join([known[y] for y in xs])
+        self.held += _ENTRY * (len(pieces) + len(cut)) + sum(map(len, merged)) + sum(map(len, pieces)) + sum(map(len, cut))
+        return [
+            b"".join([known[x] for x in head] + ([] if alone else list(map(spaced.__getitem__, p[1:]))))
+            for p, alone, head in zip(parts, loose, heads)
+        ]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -228,61 +241,77 @@ def _encoder(sent, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with a column ``ids`` (array<int>) of each whole text; a null text has no ids.
-
-    Without special tokens. All columns stay; one that is already called ``ids`` is replaced.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast((hash(frozenset(ranks.items())), ranks))
-    kept = docs.drop(ids)
+def _encoding(spark: SparkSession, ranks: dict[bytes, int], pattern: str, text: str, ids: str):
+    """What adds the ids to batches of texts."""
+    sent = spark.sparkContext.broadcast((hash(frozenset(ranks.items())), ranks))
 
     def encoded(batches):
         encoder = _encoder(sent, pattern)
-        for part in slices(batches, text):
-            gc.disable()  # many small tuples and no cycles: nothing to collect here
+        for part in slices(batches, text, size=2 << 20):
             found = encoder.encode(part.column(text).to_pylist())
             offsets = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([sum(map(len, x)) for x in found], out=offsets[1:])
-            portions = chain.from_iterable(chain.from_iterable(found))
-            flat = np.fromiter(portions, np.int32, int(offsets[-1]))
-            del found, portions
-            gc.enable()
+            np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+            flat = np.frombuffer(b"".join(found), np.int32)
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.record_batch([*part.columns, column], names=[*part.schema.names, ids])
 
-    return kept.mapInArrow(encoded, with_fields(kept.schema, f"`{ids}` array<int>"))
+    return encoded
 
 
-def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with the bytes of its ids as ``decoded`` (binary); null ids are no bytes.
+def encode_texts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with a column ``ids`` (array<int>) of each whole text; a null text has no ids.
 
-    All columns stay; one that is already called ``decoded`` is replaced.
+    Without special tokens. All columns stay; one that is already called ``ids`` is replaced.
     """
+    kept = docs.drop(ids)
+    encoded = _encoding(docs.sparkSession, ranks, pattern, text, ids)
+    return kept.mapInArrow(encoded, with_fields(kept.schema, f"`{ids}` array<int>"))
+
+
+def _decoding(spark: SparkSession, ranks: dict[bytes, int], ids: str, decoded: str):
+    """What adds the decoded bytes to batches of ids."""
     table = [b""] * (max(ranks.values(), default=-1) + 2)
     for token, rank in ranks.items():
         table[rank] = token
     lengths = np.array([len(t) for t in table])
-    sent = df.sparkSession.sparkContext.broadcast((b"".join(table), lengths, np.cumsum(lengths) - lengths))
-    kept = df.drop(decoded)
+    sent = spark.sparkContext.broadcast((b"".join(table), lengths, np.cumsum(lengths) - lengths))
 
     def decoding(batches):
         joined, lengths, starts = sent.value
         joined = np.frombuffer(joined, np.uint8)
+
+        def bytes_of(found):
+            size = lengths[found]
+            ends = np.cumsum(size)
+            return joined[np.arange(size.sum()) + np.repeat(starts[found] - ends + size, size)]
+
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 lists = pc.fill_null(part.column(ids), pa.scalar([], part.column(ids).type))
                 bounds = lists.offsets.to_numpy()
                 found = lists.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]]
-                size = lengths[found]
                 ends = np.zeros(len(found) + 1, np.int64)
-                np.cumsum(size, out=ends[1:])
-                data = joined[np.arange(ends[-1]) + np.repeat(starts[found] - ends[:-1], size)]
+                np.cumsum(lengths[found], out=ends[1:])
+                data = np.empty(ends[-1], np.uint8)
+                for i in range(0, len(found), DECODED):
+                    some = found[i : i + DECODED]
+                    data[ends[i] : ends[i + len(some)]] = bytes_of(some)
                 texts = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds - bounds[0]]), pa.py_buffer(data)]
                 ).cast(pa.binary())
                 yield pa.record_batch([*part.columns, texts], names=[*part.schema.names, decoded])
 
+    return decoding
+
+
+def decode_ids(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the bytes of its ids as ``decoded`` (binary); null ids are no bytes.
+
+    All columns stay; one that is already called ``decoded`` is replaced.
+    """
+    kept = df.drop(decoded)
+    decoding = _decoding(df.sparkSession, ranks, ids, decoded)
     return kept.mapInArrow(decoding, with_fields(kept.schema, f"`{decoded}` binary"))
 
 
@@ -291,8 +320,11 @@ def encoded_and_decoded(spark: SparkSession, docs: DataFrame, rank_file: str | N
     import public_tokenizers
 
     ranks = load_ranks(spark, rank_file or public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = encode_texts(docs, ranks, public_tokenizers.PATTERN)
-    both = decode_ids(encoded, ranks)
+    kept = docs.drop("ids", "decoded")
+    encoding = _encoding(spark, ranks, public_tokenizers.PATTERN, "text", "ids")
+    decoding = _decoding(spark, ranks, "ids", "decoded")
+    # One pass through Python: the ids are decoded where they were made.
+    both = kept.mapInArrow(lambda batches: decoding(encoding(batches)), with_fields(kept.schema, "ids array<int>, decoded binary"))
     return both.withColumns(
         {
             "n_tokens": F.size("ids").cast("long"),
