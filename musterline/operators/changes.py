@@ -11,11 +11,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from musterline.errors import DuplicateKeyError, MissingKeyError
 from musterline.model import SNAKE, RosterColumns
-from musterline.operators.dedup import one_per_key
-from musterline.operators.small_side import collect_if_small, rows_with_keys
+from musterline.operators.contracts import (
+    DUPLICATE,
+    REASONS,
+    TABLE,
+    Contract,
+    annotate,
+    assert_contract,
+    present_codes,
+)
+from musterline.operators.dedup import mark_duplicates, one_per_key
+from musterline.operators.small_side import (
+    collect_if_small,
+    fits_in_bytes,
+    join_statistics,
+    rows_with_keys,
+)
 
 # Whole changed rows, not only keys, are sent to every task: fewer of them count as few.
 SMALL_CHANGES = 10_000
+PRESENT = "present"
 
 
 def _shown(frame: DataFrame, key: str) -> str:
@@ -40,8 +55,18 @@ def batch_conflicts(table: DataFrame, batch: DataFrame, columns: RosterColumns =
     )
 
 
-def insert_batch(table: DataFrame, batch: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
-    """All rows of ``batch`` added, or DuplicateKeyError and nothing added."""
+def insert_batch(
+    table: DataFrame,
+    batch: DataFrame,
+    columns: RosterColumns = SNAKE,
+    contract: Contract | None = None,
+) -> DataFrame:
+    """All rows of ``batch`` added, or DuplicateKeyError and nothing added.
+
+    With a ``contract``, rows that break it are a ContractError.
+    """
+    if contract is not None:
+        assert_contract(batch, contract.using(columns=columns))
     shown = _shown(batch_conflicts(table, batch, columns), columns.id)
     if shown:
         raise DuplicateKeyError(f"keys repeated or already present: {shown}")
@@ -62,6 +87,38 @@ def new_rows(
     return batch.join(_held_keys(table, batch, columns.id), columns.id, "left_anti")
 
 
+def checked_offers(
+    table: DataFrame,
+    batch: DataFrame,
+    order: str,
+    columns: RosterColumns = SNAKE,
+    contract: Contract = TABLE,
+) -> DataFrame:
+    """``batch`` with the ``reasons`` why inserts one by one would refuse a row; empty if accepted.
+
+    The codes of the ``contract`` come first. Among legal rows, later ones of a key (by ``order``,
+    unique within a key) get ``duplicate``, and those whose key the table holds get ``present``.
+    An illegal row does not use up its key.
+    """
+    key = columns.id
+    checked = annotate(batch, contract.using(columns=columns, quarantine_duplicates=False))
+    # Illegal rows take part as rows without a key, and those are not compared.
+    legal_key = F.when(F.size(REASONS) == 0, F.col(key))
+    checked = mark_duplicates(checked.withColumn("__legal", legal_key), "__legal", order, "__later")
+    held = _held_keys(table, batch, key).withColumnRenamed(key, "__legal")
+    checked = join_statistics(checked, held.withColumn("__held", F.lit(True)), "__legal")
+    legal = F.col("__legal").isNotNull()
+    found = present_codes(
+        [
+            F.when(legal & F.col("__later"), F.lit(DUPLICATE)),
+            F.when(legal & F.col("__held"), F.lit(PRESENT)),
+        ]
+    )
+    return checked.withColumn(REASONS, F.concat(F.col(REASONS), found)).drop(
+        "__legal", "__later", "__held"
+    )
+
+
 def missing_keys(table: DataFrame, changes: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     """Keys addressed by ``changes`` that the table does not hold, once each."""
     key = columns.id
@@ -84,9 +141,8 @@ def apply_updates(
         F.lit(True).alias("__changed"),
         *[F.col(name).alias(f"__new_{name}") for name in fields if name in changes.columns],
     )
-    small = collect_if_small(renamed, SMALL_CHANGES)
-    right = F.broadcast(small) if small is not None else renamed
-    joined = table.join(right, F.col(key) == F.col("__key"), "left")
+    few = fits_in_bytes(renamed, SMALL_CHANGES)
+    joined = table.join(F.broadcast(renamed) if few else renamed, F.col(key) == F.col("__key"), "left")
 
     def merged(name: str):
         if name == key or name not in changes.columns:
@@ -97,9 +153,18 @@ def apply_updates(
 
 
 def update_rows(
-    table: DataFrame, changes: DataFrame, columns: RosterColumns = SNAKE, order: str | None = None
+    table: DataFrame,
+    changes: DataFrame,
+    columns: RosterColumns = SNAKE,
+    order: str | None = None,
+    contract: Contract | None = None,
 ) -> DataFrame:
-    """:func:`apply_updates`, or MissingKeyError if a change addresses no row."""
+    """:func:`apply_updates`, or MissingKeyError if a change addresses no row.
+
+    With a ``contract``, changes that break it are a ContractError.
+    """
+    if contract is not None:
+        assert_contract(changes, contract.using(columns=columns))
     shown = _shown(missing_keys(table, changes, columns), columns.id)
     if shown:
         raise MissingKeyError(f"keys not in the table: {shown}")

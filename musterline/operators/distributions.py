@@ -128,8 +128,9 @@ def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) ->
     """Gaussian kernel density per non-null group on ``points`` evenly spaced values.
 
     Bandwidth: sample deviation times n^(-1/5). A group of equal values has density 1 at that
-    value. Every row meets only its own group's grid, and the partial sums leave at most
-    points x groups values per task, so the rows themselves are never shuffled.
+    value. Equal values are counted first, so the kernel is evaluated per different value of a
+    group, not per row. A value meets only its own group's grid, and the partial sums leave at most
+    points x groups values per task.
     """
     values = _finite_values(df.where(F.col(group).isNotNull()), value, group)
     deviation = F.stddev_samp("__x")
@@ -144,12 +145,14 @@ def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) ->
     # In bandwidths: the distance from a value to the first grid point, and between grid points.
     # Null for a group of equal values, whose step is zero.
     width = F.when(F.col("__step") > 0, F.col("__h"))
-    scaled = null_safe_join(values, stats, [group], "inner").select(
+    weighted = values.groupBy(group, "__x").agg(F.count(F.lit(1)).alias("__weight"))
+    scaled = null_safe_join(weighted, stats, [group], "inner").select(
         group,
+        "__weight",
         ((F.col("__lo") - F.col("__x")) / width).alias("__start"),
         (F.col("__step") / width).alias("__stride"),
     )
-    # A row is repeated once per run of neighbouring points, not once per point: the sums of a
+    # A value is repeated once per run of neighbouring points, not once per point: the sums of a
     # run are columns of one aggregation.
     runs = math.ceil(points / POINTS_PER_RUN)
     repeated = scaled.withColumn("__run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
@@ -157,7 +160,7 @@ def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) ->
     def kernel(offset: int) -> Column:
         point = F.col("__run") * POINTS_PER_RUN + offset
         z = F.col("__start") + point * F.col("__stride")
-        return F.exp(F.lit(-0.5) * z * z)
+        return F.col("__weight") * F.exp(F.lit(-0.5) * z * z)
 
     offsets = range(POINTS_PER_RUN)
     sums = repeated.groupBy(group, "__run").agg(

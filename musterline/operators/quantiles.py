@@ -2,10 +2,10 @@
 
 ``percentile`` and ``median`` keep every distinct value of a group in one aggregation buffer. Here
 a first scan counts values per logarithmic bucket, which needs no bounds and combines on the map
-side; the counts show which buckets hold the wanted ranks. A second scan reads only the values of
-those buckets, a fraction of about 1 / BUCKETS_PER_E of the rows, and combines equal values before
-ranking them. A bucket spans a tenth of a percent of its values: amounts in cents have at most 30,000
-distinct values in a bucket below 300,000, however many rows share them.
+side; the counts show which buckets hold the wanted ranks. While such a bucket holds too many rows
+and more than one value, another scan counts its rows in equal steps between its own lowest and
+highest value, so closely spaced values are told apart as well. The last scan reads only the values
+of the buckets found, and combines equal values before ranking them.
 """
 
 from __future__ import annotations
@@ -16,8 +16,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from musterline.functions.text import finite
 from musterline.operators.small_side import SMALL_ROWS, collect_if_small, null_safe_join
+from musterline.session import written
 
 BUCKETS_PER_E = 1024
+STEPS = 4096
+# Rows that one task may rank: some 24 MB.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def _bucket(value: Column) -> Column:
@@ -43,6 +47,47 @@ def _wanted_ranks(n: Column, probabilities: Sequence[float]) -> Column:
     return F.array(*ranks)
 
 
+def _step(value: Column, low: Column, high: Column) -> Column:
+    """The part of low..high that ``value`` is in; the two ends never share one."""
+    share = (value - low) / (high - low)
+    part = F.least(F.floor(share * F.lit(float(STEPS))), F.lit(STEPS - 1))
+    return F.when(high > low, part).otherwise(F.lit(0)).cast("bigint")
+
+
+def _histogram(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__in_bucket"),
+        F.min("__value").alias("__low"),
+        F.max("__value").alias("__high"),
+    )
+
+
+def _holding_ranks(histogram: DataFrame, parents: Sequence[str], bucket: str) -> DataFrame:
+    """The buckets that hold one of ``__ranks``, with the rows before them.
+
+    ``__before`` counts the rows before the parent when it comes in, those before the bucket when
+    it goes out.
+    """
+    until = Window.partitionBy(*parents).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    before = F.col("__before") + F.sum("__in_bucket").over(until) - F.col("__in_bucket")
+    here = F.filter(
+        F.col("__ranks"),
+        lambda r: (r["rank"] >= F.col("__before"))
+        & (r["rank"] < F.col("__before") + F.col("__in_bucket")),
+    )
+    found = histogram.withColumn("__before", before).withColumn("__ranks", here)
+    return found.where(F.size("__ranks") > 0)
+
+
+def _known(chosen: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
+    """``chosen`` to be used several times, and the rows of its largest bucket of several values."""
+    small = collect_if_small(chosen, max_rows)
+    held = small if small is not None else written(chosen)
+    mixed = F.when(F.col("__low") < F.col("__high"), F.col("__in_bucket"))
+    largest = held.agg(F.max(mixed)).first()[0] or 0
+    return (F.broadcast(held) if small is not None else held), largest
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -50,46 +95,42 @@ def exact_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     max_rows: int = SMALL_ROWS,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles; nulls and NaN are ignored.
 
-    The histogram job runs when this is called, the rest is lazy. Columns: the groups, ``n`` and
-    one double per probability (``names``, by default q0, q1, ...).
+    The histogram jobs run when this is called, the rest is lazy. No task ranks more than
+    ``rows_per_bucket`` different values of a group, however they are distributed. Columns: the
+    groups, ``n`` and one double per probability (``names``, by default q0, q1, ...).
     """
     by = list(by)
     names = list(names or [f"q{i}" for i in range(len(probabilities))])
     values = df.select(
         *by, finite(F.col(value).cast("double")).alias("__value")
     ).where(F.col("__value").isNotNull())
-    values = values.withColumn("__bucket", _bucket(F.col("__value")))
+    values = values.withColumn("__bucket0", _bucket(F.col("__value")))
 
     # At most (groups x buckets) rows; a bucket number is bounded by the range of a double.
-    histogram = values.groupBy(*by, "__bucket").agg(F.count(F.lit(1)).alias("__in_bucket"))
-    group = Window.partitionBy(*by)
-    targets = (
-        histogram.withColumn("n", F.sum("__in_bucket").over(group))
-        .withColumn(
-            "__before",
-            F.sum("__in_bucket").over(
-                group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
-            )
-            - F.col("__in_bucket"),
-        )
-        .withColumn(
-            "__ranks",
-            F.filter(
-                _wanted_ranks(F.col("n"), probabilities),
-                lambda r: (r["rank"] >= F.col("__before"))
-                & (r["rank"] < F.col("__before") + F.col("__in_bucket")),
-            ),
-        )
-        .where(F.size("__ranks") > 0)
-        .drop("__in_bucket")
+    keys = [*by, "__bucket0"]
+    histogram = (
+        _histogram(values, keys)
+        .withColumn("n", F.sum("__in_bucket").over(Window.partitionBy(*by)))
+        .withColumn("__before", F.lit(0).cast("bigint"))
+        .withColumn("__ranks", _wanted_ranks(F.col("n"), probabilities))
     )
+    chosen, largest = _known(_holding_ranks(histogram, by, "__bucket0"), max_rows)
+    while largest > rows_per_bucket:
+        bounds = chosen.select(*keys, "__low", "__high")
+        bucket = f"__bucket{len(keys) - len(by)}"
+        step = _step(F.col("__value"), F.col("__low"), F.col("__high"))
+        inside = null_safe_join(values, bounds, keys, "inner")
+        values = inside.select(*keys, "__value", step.alias(bucket))
+        parents, keys = keys, [*keys, bucket]
+        histogram = null_safe_join(
+            _histogram(values, keys), chosen.select(*parents, "n", "__before", "__ranks"), parents, "inner"
+        )
+        chosen, largest = _known(_holding_ranks(histogram, parents, bucket), max_rows)
 
-    small = collect_if_small(targets, max_rows)
-    chosen = F.broadcast(small) if small is not None else targets
-    keys = [*by, "__bucket"]
     # Only the count is aggregated here; what a bucket's target says joins in afterwards, so this
     # stays a hash aggregation.
     counted = (
@@ -97,7 +138,8 @@ def exact_quantiles(
         .groupBy(*keys, "__value")
         .agg(F.count(F.lit(1)).alias("__count"))
     )
-    counted = null_safe_join(counted, chosen, keys, "inner")
+    targets = chosen.select(*keys, "n", "__before", "__ranks")
+    counted = null_safe_join(counted, targets, keys, "inner")
     end = F.col("__before") + F.sum("__count").over(
         Window.partitionBy(*keys)
         .orderBy("__value")

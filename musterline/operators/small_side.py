@@ -7,6 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 SMALL_ROWS = 100_000
+SMALL_BYTES = 64 << 20
+
+
+def fits_in_bytes(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether ``df`` has at most so many rows and bytes of values. Runs ``df`` once; one row of
+    sums reaches the driver."""
+    width = reduce(
+        lambda a, b: a + b,
+        [F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) for name in df.columns],
+    )
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width + 16 * len(df.columns))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def collect_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:

@@ -370,6 +370,27 @@ SELECT * FROM (
   FROM changed GROUP BY employee_id) AS c
 WHERE rows_in_batch > 1 OR in_table""",
 )
+ORACLE["insert_offers"] = _with(
+    _ROSTER,
+    query="""
+, offers AS (
+  SELECT event_id AS offer, CASE WHEN event_id % 7 <> 0 THEN user_id * 37 END AS employee_id,
+         event_id % 5 = 0 AND value > -15000 OR event_id % 5 <> 0 AND value < -15000 AS illegal
+  FROM events
+),
+firsts AS (
+  SELECT employee_id, min(offer) AS first FROM offers
+  WHERE employee_id IS NOT NULL AND NOT illegal GROUP BY employee_id
+)
+SELECT o.offer, o.employee_id, CASE
+  WHEN o.employee_id IS NULL OR o.illegal THEN
+    concat_ws(',', CASE WHEN o.employee_id IS NULL THEN 'id' END, CASE WHEN o.illegal THEN 'salary' END)
+  ELSE concat_ws(',',
+    CASE WHEN o.offer > f.first THEN 'duplicate' END,
+    CASE WHEN o.employee_id IN (SELECT employee_id FROM roster) THEN 'present' END)
+  END AS reasons
+FROM offers AS o LEFT JOIN firsts AS f USING (employee_id)""",
+)
 ORACLE["update_rows"] = _with(
     _ROSTER,
     _event_rows("event_id + 1"),
@@ -736,6 +757,19 @@ ORACLE["salary_box_stats"] = _with(
 ORACLE["event_box_stats"] = _with(
     _boxes("events", "event_type", "value"), query=_box_query("event_type")
 )
+
+
+def _quartiles(value: str, scale: str, group: str = "") -> str:
+    columns = ", ".join(
+        _round(f"quantile_cont({value}, {p}) * {scale}", 3) + f" AS {name}"
+        for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    )
+    before, after = (f"{group}, ", f" GROUP BY {group}") if group else ("", "")
+    return f"SELECT {before}count({value}) AS n, {columns} FROM events{after}"
+
+
+ORACLE["quantiles_narrow"] = _quartiles("(value * 1e-9)", "1e9", "event_type")
+ORACLE["quantiles_of_times"] = _quartiles("epoch(ts)", "1")
 ORACLE["salary_outliers"] = _with(
     _boxes("events", "event_type", "value"),
     query="""

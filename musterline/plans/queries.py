@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from musterline.functions.dates import tenure_days, tenure_years
 from musterline.functions.numbers import round_half_up
@@ -23,6 +23,7 @@ from musterline.operators import (
     reports,
     search,
 )
+from musterline.operators.quantiles import exact_quantiles
 from musterline.plans import views
 from musterline.session import work_folder, written
 from musterline.sources import payloads, roster_files, snapshots
@@ -207,6 +208,19 @@ def batch_conflicts(spark: SparkSession, folder: str) -> DataFrame:
     return changes.batch_conflicts(rows, views.event_rows(spark, folder, F.col("user_id") * 37))
 
 
+@register
+def insert_offers(spark: SparkSession, folder: str) -> DataFrame:
+    """Offers without key, with repeated and held keys, and with a salary that no table may hold."""
+    event_id = F.col("event_id")
+    key = F.when(event_id % 7 != 0, F.col("user_id") * 37)
+    offers = views.event_rows(spark, folder, key, event_id.alias("offer")).withColumn(
+        SNAKE.salary,
+        F.when(F.col("offer") % 5 == 0, -F.col(SNAKE.salary)).otherwise(F.col(SNAKE.salary)),
+    )
+    checked = changes.checked_offers(views.roster(spark, folder), offers, "offer")
+    return _reason_text(checked).select("offer", SNAKE.id, "reasons")
+
+
 @register
 def update_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = _stored(views.roster(spark, folder))
@@ -616,6 +630,28 @@ def event_box_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(distributions.box_stats(events, "event_type", "value"), *_BOX)
 
 
+_QUARTILES = ("q1", "median", "q3")
+
+
+def _quartiles(spark: SparkSession, folder: str, value: Column, scale: float, *by: str) -> DataFrame:
+    """Quartiles of event values that logarithmic buckets cannot tell apart."""
+    events = views.table(spark, folder, "events").select(*by, value.alias("x"))
+    found = exact_quantiles(
+        events, "x", [0.25, 0.5, 0.75], by=by, names=_QUARTILES, rows_per_bucket=100
+    )
+    return _rounded(found.withColumns({q: F.col(q) * scale for q in _QUARTILES}), *_QUARTILES, digits=3)
+
+
+@register
+def quantiles_narrow(spark: SparkSession, folder: str) -> DataFrame:
+    return _quartiles(spark, folder, F.col("value") * 1e-9, 1e9, "event_type")
+
+
+@register
+def quantiles_of_times(spark: SparkSession, folder: str) -> DataFrame:
+    return _quartiles(spark, folder, F.col("ts").cast("timestamp").cast("double"), 1.0)
+
+
 @register
 def salary_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Order prices have no outliers within a segment; event values within a type do."""

@@ -140,7 +140,7 @@ def users_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def event_rows(spark: SparkSession, folder: str, key: Column) -> DataFrame:
+def event_rows(spark: SparkSession, folder: str, key: Column, *more: Column) -> DataFrame:
     """Roster rows made of events, keyed by an expression over them: input for keyed changes."""
     return table(spark, folder, "events").select(
         key.alias(SNAKE.id),
@@ -150,4 +150,5 @@ def event_rows(spark: SparkSession, folder: str, key: Column) -> DataFrame:
         (F.lit(15000.0) + F.col("value")).alias(SNAKE.salary),
         F.col("ts").cast("date").alias(SNAKE.joining_date),
         (F.col("user_id") % 5 + 1).cast("int").alias(SNAKE.score),
+        *more,
     )
