@@ -23,3 +23,7 @@ class MissingKeyError(MusterlineError):
 
 class SourceError(MusterlineError):
     """None of the offered sources holds any row."""
+
+
+class PublishConflictError(MusterlineError):
+    """Another publisher took the same version of a table first."""

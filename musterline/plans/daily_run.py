@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from musterline.errors import SourceError
 from musterline.model import PASCAL, SNAKE
 from musterline.operators import distributions, growth, metrics, reports
-from musterline.operators.changes import insert_batch, merge_sources
+from musterline.operators.changes import insert_batch, merge_sources, new_rows
 from musterline.operators.cleaning import clean_roster
-from musterline.operators.contracts import ENTITY, Contract, split, standardise
+from musterline.operators.contracts import ENTITY, TABLE, Contract, split, standardise
 from musterline.operators.dedup import keep_first
 from musterline.operators.flatten import flatten_users
 from musterline.session import written
@@ -21,6 +21,10 @@ from musterline.sources.roster_files import read_checked_csv
 from musterline.sources.snapshots import current_snapshot, full_reload
 
 
+# Where a user was read: file, block, row, position in its array.
+_PLACE = "__place"
+
+
 @dataclass(frozen=True)
 class RunResult:
     rows: int
@@ -38,11 +42,15 @@ def publish_roster(
     contract: Contract = ENTITY,
     on_conflict: str = "fail",
     as_of: str | dt.date | None = None,
+    on_corrupt: str = "fail",
+    one_per_line: bool = False,
 ) -> RunResult:
     """Check both sources, merge them and publish the result as the new snapshot below ``base``.
 
     Repeated keys stop the run before anything is published (``on_conflict='fail'``) or lose to
     the row read first (``'keep_first'``). An empty merge leaves the published roster as it is.
+    ``on_corrupt`` and ``one_per_line`` say how payloads are read; one per line lets Spark split
+    large files.
     """
     # Written once: clean and rejected rows, the key checks and the load all read it.
     checked = written(read_checked_csv(spark, csv_path, contract))
@@ -53,17 +61,17 @@ def publish_roster(
         from_file = keep_first(from_file, SNAKE.id, SNAKE.ordinal)
     from_file = from_file.select(*SNAKE.base)
 
-    accepted, refused = split(flatten_users(users_or_default(spark, payload_path)))
-    from_users = standardise(accepted).select(*SNAKE.base)
+    # Written once too: payloads are parsed a single time.
+    users = users_or_default(spark, payload_path, on_corrupt, one_per_line, _PLACE)
+    accepted, refused = split(written(flatten_users(users)))
+    refused = refused.drop(_PLACE)
+    from_users = standardise(accepted).select(*SNAKE.base, _PLACE)
     if on_conflict == "keep_first":
-        unique = from_users.dropDuplicates([SNAKE.id])
-        merged = merge_sources(
-            from_file, unique.join(from_file.select(SNAKE.id), SNAKE.id, "left_anti")
-        )
+        merged = merge_sources(from_file, new_rows(from_file, from_users, order=_PLACE))
     else:
-        merged = insert_batch(from_file, from_users)
+        merged = insert_batch(from_file, from_users.drop(_PLACE))
 
-    rows, _ = full_reload(merged, base)
+    rows, _ = full_reload(merged, base, contract=TABLE)
     roster = current_snapshot(spark, base)
     if roster is None:
         raise SourceError("no rows to publish and nothing published before")

@@ -148,9 +148,12 @@ def file_headcount(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def csv_export_rows(spark: SparkSession, folder: str) -> DataFrame:
-    path = work_folder(spark)
-    roster_files.write_csv(views.roster(spark, folder), path)
-    return roster_files.read_raw_csv(spark, path).select(*PASCAL.base)
+    base = work_folder(spark)
+    rows = views.roster(spark, folder)
+    # The second export replaces the first.
+    snapshots.publish_csv(rows.where(F.col(SNAKE.score) > 3), base)
+    snapshots.publish_csv(rows, base)
+    return snapshots.current_csv(spark, base).select(*PASCAL.base)
 
 
 @register

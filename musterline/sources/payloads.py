@@ -15,20 +15,28 @@ from musterline.sources.roster_files import path_is_missing
 
 
 def read_payloads(
-    spark: SparkSession, path: str, on_corrupt: str = "fail", one_per_line: bool = False
+    spark: SparkSession,
+    path: str,
+    on_corrupt: str = "fail",
+    one_per_line: bool = False,
+    place: str | None = None,
 ) -> DataFrame:
     """Users from payloads that are JSON arrays: one per file, or one per line.
 
     The second form can be split, so a large landing need not be many small files. A payload that
     does not parse, or is no array, is an error with ``on_corrupt='fail'`` (a check job runs now)
-    and is left out with ``'quarantine'``; :func:`corrupt_payloads` lists those.
+    and is left out with ``'quarantine'``; :func:`corrupt_payloads` lists those. ``place`` names a
+    column that gets each user's (file, block, row, position), ascending in reading order.
     """
     payloads = _payloads(spark, path, one_per_line)
     if on_corrupt == "fail":
         bad = [row[0] for row in corrupt_payloads(spark, path, one_per_line).limit(5).collect()]
         if bad:
             raise PayloadError(f"not a JSON array of users: {', '.join(bad)}")
-    return payloads.select(F.explode("users").alias("user")).select("user.*")
+    if place is None:
+        return payloads.select(F.explode("users").alias("user")).select("user.*")
+    users = payloads.select("file", "block", "row", F.posexplode("users").alias("position", "user"))
+    return users.select("user.*", F.struct("file", "block", "row", "position").alias(place))
 
 
 def corrupt_payloads(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
@@ -43,6 +51,8 @@ def _payloads(spark: SparkSession, path: str, one_per_line: bool) -> DataFrame:
     is_array = F.json_array_length("value").isNotNull()
     return spark.read.text(path, wholetext=not one_per_line).select(
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
         F.col("value").alias("payload"),
         F.when(is_array, users).alias("users"),
     )
@@ -53,21 +63,32 @@ def read_payload_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(USER_SCHEMA).json(path)
 
 
-def default_users(spark: SparkSession) -> DataFrame:
+def default_users(spark: SparkSession, place: str | None = None) -> DataFrame:
     """The five users used when the payload source is out of reach."""
-    return spark.createDataFrame([json.dumps(DEFAULT_USERS)], T.StringType()).select(
-        F.inline(F.from_json("value", T.ArrayType(USER_SCHEMA)))
+    texts = spark.createDataFrame([json.dumps(DEFAULT_USERS)], T.StringType())
+    users = texts.select(
+        F.posexplode(F.from_json("value", T.ArrayType(USER_SCHEMA))).alias("position", "user")
     )
-
-
-def users_or_default(spark: SparkSession, path: str, on_corrupt: str = "fail") -> DataFrame:
+    if place is None:
+        return users.select("user.*")
+    first = (F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("row"))
+    return users.select("user.*", F.struct(*first, "position").alias(place))
+
+
+def users_or_default(
+    spark: SparkSession,
+    path: str,
+    on_corrupt: str = "fail",
+    one_per_line: bool = False,
+    place: str | None = None,
+) -> DataFrame:
     """Landed users, or the default ones when nothing has landed at ``path``."""
     try:
-        return read_payloads(spark, path, on_corrupt)
+        return read_payloads(spark, path, on_corrupt, one_per_line, place)
     except AnalysisException as error:
         if not path_is_missing(error):
             raise
-        return default_users(spark)
+        return default_users(spark, place)
 
 
 def resolve_feeds(

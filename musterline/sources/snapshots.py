@@ -1,4 +1,4 @@
-"""A keyed table as numbered parquet snapshots and a ledger of the published ones."""
+"""A keyed table as numbered parquet or CSV snapshots and a ledger of the published ones."""
 
 from __future__ import annotations
 
@@ -8,9 +8,10 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from musterline.errors import DuplicateKeyError
-from musterline.model import SNAKE, RosterColumns
-from musterline.sources.roster_files import path_is_missing
+from musterline.errors import DuplicateKeyError, PublishConflictError
+from musterline.model import PASCAL, SNAKE, RosterColumns
+from musterline.operators.contracts import Contract, assert_contract
+from musterline.sources.roster_files import file_headcount, path_is_missing, read_raw_csv, write_csv
 
 _LEDGER_SCHEMA = "version bigint, snapshot string, rows bigint, published_at timestamp"
 
@@ -24,10 +25,52 @@ def _ledger(spark: SparkSession, base: str) -> DataFrame:
         return spark.createDataFrame([], _LEDGER_SCHEMA)
 
 
+def _current(spark: SparkSession, base: str) -> str | None:
+    """Folder of the highest version. If two publishers took it at once, the first one holds it."""
+    last = _ledger(spark, base).orderBy(F.desc("version"), "published_at", "snapshot").first()
+    return f"{base}/snapshots/{last['snapshot']}" if last else None
+
+
+def _enter(spark: SparkSession, base: str, name: str, rows: int) -> None:
+    """Make a complete snapshot the current one, or raise PublishConflictError."""
+    version = (_ledger(spark, base).agg(F.max("version")).first()[0] or 0) + 1
+    entry = spark.createDataFrame([(version, name, rows)], "version bigint, snapshot string, rows bigint")
+    entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
+        f"{base}/published"
+    )
+    same = _ledger(spark, base).where(F.col("version") == version)
+    holder = same.orderBy("published_at", "snapshot").first()["snapshot"]
+    if holder != name:
+        raise PublishConflictError(f"version {version} was published by another job: {holder}")
+
+
 def current_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
     """The table as last published, or None."""
-    last = _ledger(spark, base).orderBy(F.desc("version"), F.desc("published_at")).first()
-    return spark.read.parquet(f"{base}/snapshots/{last['snapshot']}") if last else None
+    path = _current(spark, base)
+    return spark.read.parquet(path) if path else None
+
+
+def publish_csv(df: DataFrame, base: str, columns: RosterColumns = SNAKE) -> int:
+    """Replace the CSV export below ``base`` and return its rows.
+
+    Readers (:func:`current_csv`) see the old files until the new ones are complete. An export
+    without rows replaces the old one too.
+    """
+    spark = df.sparkSession
+    name = uuid.uuid4().hex
+    path = f"{base}/snapshots/{name}"
+    write_csv(df, path, columns)
+    rows = file_headcount(spark, path).first()[0]
+    _enter(spark, base, name, rows)
+    return rows
+
+
+def current_csv(
+    spark: SparkSession, base: str, columns: RosterColumns = PASCAL, multiline: bool = False
+) -> DataFrame | None:
+    """The export as last published, as text, or None."""
+    path = _current(spark, base)
+    return read_raw_csv(spark, path, columns, multiline) if path else None
 
 
 def duplicate_keys(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
@@ -35,20 +78,29 @@ def duplicate_keys(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
 
 
 def full_reload(
-    df: DataFrame, base: str, columns: RosterColumns = SNAKE, cluster_by: str | None = None
+    df: DataFrame,
+    base: str,
+    columns: RosterColumns = SNAKE,
+    cluster_by: str | None = None,
+    contract: Contract | None = None,
 ) -> tuple[int, float]:
     """Replace the table by ``df`` and return (rows, seconds).
 
     The rows are written beside the current snapshot, checked for repeated keys, and only then
     entered in the ledger, so a failure at any point leaves readers on the old snapshot. Without
-    rows the table stays as it is and (0, 0.0) is returned. ``cluster_by`` sorts the rows by a
-    column within each file, which lets readers skip row groups.
+    rows the table stays as it is and (0, 0.0) is returned. ``cluster_by`` deals the rows out by
+    ranges of (that column, key): a file covers few of its values, so readers skip files, and a
+    value that many rows share is still split. With a ``contract``, rows that break it are a
+    ContractError.
     """
     spark = df.sparkSession
     started = time.perf_counter()
     name = uuid.uuid4().hex
     path = f"{base}/snapshots/{name}"
-    (df.sortWithinPartitions(cluster_by) if cluster_by else df).write.parquet(path)
+    if cluster_by:
+        place = [cluster_by, columns.id]
+        df = df.repartitionByRange(*place).sortWithinPartitions(*place)
+    df.write.parquet(path)
     # Counted from the files, not from df: one evaluation, and what is counted is what is there.
     stored = spark.read.schema(df.schema).parquet(path)
     rows = stored.count()
@@ -57,10 +109,7 @@ def full_reload(
     repeated = [row[0] for row in duplicate_keys(stored, columns).limit(20).collect()]
     if repeated:
         raise DuplicateKeyError(f"keys repeated: {', '.join(map(str, repeated))}")
-    ledger = _ledger(spark, base)
-    version = (ledger.agg(F.max("version")).first()[0] or 0) + 1
-    entry = spark.createDataFrame([(version, name, rows)], "version bigint, snapshot string, rows bigint")
-    entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
-        f"{base}/published"
-    )
+    if contract is not None:
+        assert_contract(stored, contract.using(columns=columns))
+    _enter(spark, base, name, rows)
     return rows, time.perf_counter() - started
