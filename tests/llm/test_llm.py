@@ -227,6 +227,20 @@ def test_quality_agrees_with_gold_labels(spark):
     assert not quality_classifier.fit_quality(odd_docs(spark).limit(0)).any()
 
 
+@pytest.mark.parametrize(("abstains", "share"), [(0.01, 0.05), (0.03, 0.14), (0.08, 0.02), (0.2, 0.4)])
+def test_quality_votes_of_other_rates(abstains, share):
+    rng = np.random.default_rng(1)
+    low = rng.random(40_000) < share
+    said = np.zeros((len(low), len(quality_classifier.LABELLERS)), int)
+    said[np.arange(len(low)), rng.integers(0, said.shape[1], len(low))] = low
+    wrong = rng.random(said.shape) < 0.0005
+    said[wrong], said[rng.random(said.shape) < abstains] = 1, 2
+    patterns, at, rows = np.unique((said * 3 ** np.arange(said.shape[1])).sum(axis=1), return_inverse=True, return_counts=True)
+    called = quality_classifier.expectation_maximisation(patterns, rows)[at] >= 0.5
+    voted = (said == 1).any(axis=1)
+    assert not called[~voted].any() and called[low & voted].all() and called[~low].mean() < 0.01
+
+
 def test_toxicity_finds_planted_words(spark):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(300)]
