@@ -1,31 +1,25 @@
 """Benchmark passages in documents, with DataFrame operations only.
 
-A passage is looked for in windows of its own number of words. Windows are placed where a shingle of
-SHINGLE words that the document shares with any item has the place it has in the item: a window that is
-similar enough shares most shingles with the item, so one of these windows holds it. Each window and item
-has a SimHash of 63 bits over its words. The bits are cut into RADIUS + 1 blocks, and fingerprints within
-RADIUS agree in one block at least, so an equi-join on (words, block, value) finds all of them. The
-candidates are verified exactly: the weighted share of the item's shingles, with their numbers of
-occurrences, that the window holds; a shingle of fewer items weighs more.
+A passage is looked for in windows of its own number of words. Its shingles of SHINGLE words are ordered by
+the number of items that hold them; a window that holds none of the first ones, which have more than
+1 - SIMILAR of the passage's weight, cannot be similar enough, so only documents with one of these are
+candidates. Their windows are placed where a shingle of the document has the place it has in the item, and
+every one is verified exactly: the weighted share of the item's shingles, with their numbers of occurrences,
+that the window holds; a shingle of fewer items weighs more.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from musterline.session import written
 
 SHINGLE = 5
 SIMILAR = 0.8
-RADIUS = 13
 #: Sides of a join are broadcast only if they have at most so many (narrow) rows.
 SMALL_ROWS = 200_000
-_BITS = 63
-_LANES, _WIDTH = 3, 21
-_LANE_ONES = sum(1 << (_WIDTH * lane) for lane in range(_LANES))
-
 
 def words(text: Column) -> Column:
     """Letters and digits in lower case, cut at everything else."""
@@ -48,37 +42,6 @@ def _shingles(tokens: str, size: Column) -> Column:
     return F.when(F.size(tokens) >= size, grams).otherwise(F.array(F.array_join(tokens, " ")))
 
 
-def with_simhash(df: DataFrame, tokens: str, out: str) -> DataFrame:
-    """``df`` with the SimHash of an array of words (fewer than 2**20): the majority of each hash bit.
-
-    Three counters of 21 bits share a number, so 21 sums count all bits.
-    """
-    ones = F.lit(_LANE_ONES)
-    hashed = df.withColumn("__h", F.transform(tokens, lambda w: F.xxhash64(w)))
-    sums = {
-        f"__sum{k}": F.aggregate("__h", F.lit(0).cast("long"), lambda total, h: total + F.shiftrightunsigned(h, k).bitwiseAND(ones))
-        for k in range(_WIDTH)
-    }
-    hashed = hashed.withColumns(sums)
-    bits = []
-    for k in range(_WIDTH):
-        for lane in range(_LANES):
-            count = F.shiftrightunsigned(F.col(f"__sum{k}"), _WIDTH * lane).bitwiseAND(F.lit((1 << _WIDTH) - 1))
-            bits.append(F.when(2 * count > F.size("__h"), F.lit(1 << (k + _WIDTH * lane))).otherwise(F.lit(0).cast("long")))
-    return hashed.withColumn(out, reduce(lambda x, y: x.bitwiseOR(y), bits)).drop("__h", *sums)
-
-
-def block_keys(fingerprint: Column, radius: int = RADIUS) -> Column:
-    """(block, value) of each of ``radius`` + 1 blocks of the fingerprint."""
-    edges = [_BITS * i // (radius + 1) for i in range(radius + 2)]
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("value"))
-            for i, (a, b) in enumerate(zip(edges, edges[1:]))
-        ]
-    )
-
-
 def sized(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if a count finds it small; it should be cheap to evaluate."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -101,41 +64,55 @@ def contaminated(
     ).dropDuplicates(["item", "version"])
     items = written(items)
 
-    anchors = []
-    for row in items.select("g").distinct().collect():  # 1 to SHINGLE
-        g = row["g"]
-        places = items.where(F.col("g") == g).select(F.posexplode(gram_hashes("iw", g)).alias("place", "gram"), "n").distinct()
-        grams = plain.select("key", F.size("w").alias("size"), F.posexplode(gram_hashes("w", g)).alias("at", "gram"))
-        hits = grams.join(sized(places), "gram")
-        start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("size") - F.col("n")))
-        anchors.append(hits.select("key", start.alias("start"), "n"))
-    if not anchors:
-        anchors = [plain.select("key", F.lit(0).alias("start"), F.lit(0).alias("n")).limit(0)]
-    windows = written(reduce(DataFrame.unionByName, anchors).distinct())
-
-    involved = plain.join(sized(windows.select("key").distinct()), "key", "left_semi")
-    windows = involved.join(windows, "key").select("key", "start", "n", F.slice("w", F.col("start") + 1, F.col("n")).alias("ww"))
-    windows = written(with_simhash(windows, "ww", "print"))
-    prints = written(with_simhash(items, "iw", "item_print").select("item", "version", "n", "item_print"))
-
-    left = windows.select("key", "start", "n", "print", F.explode(block_keys(F.col("print"))).alias("b")).select("*", "b.*").drop("b")
-    right = prints.select("item", "version", "n", "item_print", F.explode(block_keys(F.col("item_print"))).alias("b")).select("*", "b.*").drop("b")
-    near = left.join(sized(right), ["n", "block", "value"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    near = near.select("key", "start", "n", "item", "version").distinct()
-
-    # Exact similarity of the candidates.
-    of_item = items.select("item", "version", "g", F.explode(_shingles("iw", F.col("g"))).alias("shingle"))
-    of_item = of_item.groupBy("item", "version", "g", "shingle").agg(F.count(F.lit(1)).alias("in_item"))
+    grams = {row["g"]: gram_hashes("iw", row["g"]) for row in items.select("g").distinct().collect()}  # 1 to SHINGLE
+    if not grams:
+        none = plain.select("key", F.lit(0).cast("long").alias("start"), F.lit(0.0).alias("similarity")).limit(0)
+        none = none.crossJoin(F.broadcast(items.select("item").limit(0)))
+        return none.select(F.col("key").alias(key), F.col("item").alias(item), "start", "similarity")
+    places = [
+        items.where(F.col("g") == g).withColumn("gram", gram).withColumn("shingle", _shingles("iw", F.col("g")))
+        .select("item", "version", "n", "g", F.posexplode(F.arrays_zip("gram", "shingle")).alias("place", "x")).select("*", "x.*").drop("x")
+        for g, gram in grams.items()
+    ]
+    places = written(reduce(DataFrame.unionByName, places))
+
+    # Weights, and the rarest shingles that no similar window misses altogether.
+    of_item = places.groupBy("item", "version", "g", "shingle", "gram").agg(F.count(F.lit(1)).alias("in_item"))
     spread = of_item.groupBy("shingle").agg(F.count_distinct("item").alias("items"))
     total = items.select(F.count_distinct("item")).scalar()
     of_item = of_item.join(spread, "shingle").withColumn("weight", 1 + F.log(total / F.col("items")))
-    whole = of_item.groupBy("item", "version").agg(F.sum(F.col("weight") * F.col("in_item")).alias("whole"), F.first("g").alias("g"))
-    of_item, whole = written(of_item.drop("g", "items")), written(whole)
-
-    seen = near.join(windows.drop("print"), ["key", "start", "n"]).join(sized(whole), ["item", "version"])
+    whole = of_item.groupBy("item", "version").agg(F.sum(F.col("weight") * F.col("in_item")).alias("whole"))
+    of_item, whole = written(of_item), written(whole)
+    rarest = Window.partitionBy("item", "version").orderBy("items", "shingle")
+    up_to = F.sum(F.col("weight") * F.col("in_item")).over(rarest.rowsBetween(Window.unboundedPreceding, 0))
+    first = of_item.withColumn("before", up_to - F.col("weight") * F.col("in_item")).join(sized(whole), ["item", "version"])
+    first = first.where(F.col("before") <= (1 - SIMILAR + 1e-6) * F.col("whole"))
+    first = written(first.select("item", "version", "g", "gram"))
+
+    def of_docs(texts: DataFrame, g: int) -> DataFrame:
+        return texts.select("key", F.size("w").alias("size"), F.posexplode(gram_hashes("w", g)).alias("at", "gram"))
+
+    pairs = [
+        of_docs(plain, g).join(sized(first.where(F.col("g") == g).drop("g")), "gram").select("key", "item", "version") for g in grams
+    ]
+    pairs = written(reduce(DataFrame.unionByName, pairs).distinct())
+
+    # All windows of the candidates.
+    involved = plain.join(sized(pairs.select("key").distinct()), "key", "left_semi")
+    wanted = pairs.join(sized(places.drop("shingle")), ["item", "version"])
+    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("place"), F.col("size") - F.col("n")))
+    windows = [
+        of_docs(involved, g).join(wanted.where(F.col("g") == g), ["key", "gram"]).select("key", "item", "version", "n", "g", start.alias("start"))
+        for g in grams
+    ]
+    windows = written(reduce(DataFrame.unionByName, windows).distinct())
+
+    # Exact similarity.
+    seen = involved.join(windows, "key").withColumn("ww", F.slice("w", F.col("start") + 1, F.col("n")))
+    seen = seen.join(sized(whole), ["item", "version"])
     seen = seen.select("key", "start", "item", "version", "whole", F.explode(_shingles("ww", F.col("g"))).alias("shingle"))
     seen = seen.groupBy("key", "start", "item", "version", "whole", "shingle").agg(F.count(F.lit(1)).alias("in_window"))
-    shared = seen.join(sized(of_item), ["item", "version", "shingle"])
+    shared = seen.join(sized(of_item.drop("g", "gram", "items")), ["item", "version", "shingle"])
     held = F.sum(F.col("weight") * F.least("in_item", "in_window")) / F.col("whole")
     scored = shared.groupBy("key", "start", "item", "version", "whole").agg(held.alias("similarity"))
     scored = scored.withColumn("similarity", F.round("similarity", 9)).where(F.col("similarity") >= SIMILAR)

@@ -126,6 +126,26 @@ def test_decontamination_finds_exact_and_near_copies_only(spark):
     assert decontamination.contaminated(df, benchmark.limit(0)).count() == 0
 
 
+def test_decontamination_finds_cut_and_run_edited_passages(spark):
+    rng = random.Random(5)
+    items = [[f"i{rng.randrange(10**6)}" for _ in range(n)] for n in (15, 30, 50, 50, 80, 120, 120)]
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    docs, expected = [], set()
+    for i, item in enumerate(items):
+        n = len(item)
+        for run in (n // 12, (n - 4) // 5 - 4, (n - 4) // 5, (n - 4) // 5 + 1):
+            for at in (0, n // 2, n - run) if run > 0 else ():
+                text = [*item[:at], *noise(run), *item[at + run :]]
+                held = sum(text[j : j + 5] == item[j : j + 5] for j in range(n - 4))
+                if held >= 0.8 * (n - 4):
+                    expected.add((len(docs), i, 20))
+                docs.append((len(docs), " ".join([*noise(20), *text, *noise(20)])))
+    bench = [(i, " ".join(t)) for i, t in enumerate(items)]
+    df, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start) for r in decontamination.contaminated(df, benchmark).collect()}
+    assert got == expected and len(expected) > 40
+
+
 def test_decontamination_runs_no_python(spark, folder):
     df = decontamination.op2_benchmark_decontamination(spark, folder)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
