@@ -222,6 +222,16 @@ def test_pii_base_spans_stay_and_texts_are_redacted(spark):
     assert pii.find_pii(df.limit(0), pii.fit_pii(df.limit(0))).count() == 0
 
 
+def test_pii_finds_hidden_addresses(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(4, 9)))
+    rows = [(i, f"{word()} {word()} {word()}.{word()}@{word()}.org {word()} meet @ noon, look (at) this") for i in range(300)]
+    model = pii.fit_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    for hidden in ("jo.smith [at] uni [dot] org", "maria (at) example.org", "maria @ example.org", "p.lee [at] mail.uni [dot] edu"):
+        text = f"please write {hidden} about it, see you @ noon or look (at) this"
+        assert [(k, text[a:b]) for k, a, b in pii.all_spans(text, model)[1]] == [("email", hidden)]
+
+
 def test_language_of_held_out_documents(spark, folder):
     got = language_id.op7_language_id(spark, folder).collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
