@@ -232,6 +232,19 @@ def test_pii_finds_hidden_addresses(spark):
         assert [(k, text[a:b]) for k, a, b in pii.all_spans(text, model)[1]] == [("email", hidden)]
 
 
+def test_pii_long_secrets_leave_no_rest(spark):
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    rows = [(i, f"the token is {key(rng.randint(18, 300))} and internationalization {i}") for i in range(400)]
+    model = pii.fit_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    for n in (128, 129, 143, 144, 500):
+        # Also one that holds a card number.
+        secrets = [key(n), f"{key(n)}a4111111111111111f{key(40)}"]
+        texts = spark.createDataFrame([(i, f"the token is {s} and more") for i, s in enumerate(secrets)], "doc_id long, text string")
+        for r in pii.redact(texts, model).collect():
+            assert re.fullmatch(r"the token is (\[(SECRET|CARD)\])+ and more", r.text), r.text
+
+
 def test_language_of_held_out_documents(spark, folder):
     got = language_id.op7_language_id(spark, folder).collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
