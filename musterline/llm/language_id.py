@@ -13,15 +13,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from musterline.llm.decontamination import sized
 from musterline.llm.text_hashing import slices, with_fields
 from musterline.llm.toxicity import held_out
+from musterline.session import written
 
 DIMENSIONS = 4096
 CENTROIDS = 4
 #: Centroids are fitted on so many texts per language, those with the smallest hash of their key.
 SAMPLE_PER_LANGUAGE = 1_000
-#: The languages with the most training texts are learned, at most so many.
-MOST_LANGUAGES = 256
+#: Texts are compared with so many centroids at a time.
+BLOCK = 1_024
 #: Share of a language's sample that lies farther from its centroids than the limit of rejection.
 REJECTED_SHARE = 0.005
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -98,11 +100,10 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key:
     # Rank by (hash, key) within a language: Spark keeps only the best rows of each task before the shuffle.
     from pyspark.sql import Window
 
-    known = rows.groupBy("__lang").count().orderBy(F.col("count").desc(), "__lang").limit(MOST_LANGUAGES).select("__lang")
     rank = F.row_number().over(Window.partitionBy("__lang").orderBy(F.xxhash64("__key"), "__key"))
-    keys = rows.select("__key", "__lang").join(F.broadcast(known), "__lang").withColumn("__rank", rank)
-    keys = keys.where(F.col("__rank") <= SAMPLE_PER_LANGUAGE).select("__key", "__lang").distinct()
-    sample = rows.join(F.broadcast(keys), ["__key", "__lang"])
+    keys = rows.select("__key", "__lang").withColumn("__rank", rank)
+    keys = written(keys.where(F.col("__rank") <= SAMPLE_PER_LANGUAGE).select("__key", "__lang").distinct())
+    sample = rows.join(sized(keys), ["__key", "__lang"])
 
     def centroids(key, table):
         x, found = [], []
@@ -137,9 +138,15 @@ def identify_languages(docs: DataFrame, model, text: str = "text") -> DataFrame:
         names = np.array([*languages, "und"], object)
         for part in slices(batches, text, rows=256):
             count, found = counts(part.column(text).to_pylist())
-            near = vectors(count, idf) @ centres.T if len(centres) else np.zeros((len(found), 1), np.float32)
-            best = np.where(found & (len(centres) > 0), near.argmax(axis=1), len(languages))
-            score = np.where(best < len(languages), np.clip(near.max(axis=1), 0, 1), 0).astype(float)
+            x = vectors(count, idf)
+            best, near = np.full(len(found), len(languages)), np.full(len(found), -np.inf, np.float32)
+            for start in range(0, len(centres), BLOCK):
+                cosine = x @ centres[start : start + BLOCK].T
+                at = cosine.argmax(axis=1)
+                top = cosine[np.arange(len(at)), at]
+                closer = found & (top > near)
+                best[closer], near[closer] = start + at[closer], top[closer]
+            score = np.where(best < len(languages), np.clip(near, 0, 1), 0).astype(float)
             rejected = score < np.append(limits, 1.0)[best]
             columns = [pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(rejected)]
             yield pa.record_batch([*part.columns, *columns], names=[*part.schema.names, "lang_pred", "score", "rejected"])

@@ -258,6 +258,17 @@ def test_language_of_held_out_documents(spark, folder):
     assert {r.lang_pred for r in language_id.identify_languages(odd_docs(spark), none).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    # 300 languages: each has a word of its own, and the last ones have the fewest texts.
+    rng = random.Random(6)
+    own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(300)]
+    rows = [(1000 * j + i, f"{w} {w}", f"x{j:03}") for j, w in enumerate(own) for i in range(2 if j < 256 else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(df)
+    assert set(model[1]) == {f"x{j:03}" for j in range(300)}
+    assert all(r.lang_pred == r.lang for r in language_id.identify_languages(df, model).collect())
+
+
 def test_quality_agrees_with_gold_labels(spark):
     folder = "/root/testdata/sf0.01"
     rejected = {r.doc_id: r.rejected for r in quality_classifier.op8_quality_classifier(spark, folder).collect()}
