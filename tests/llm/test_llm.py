@@ -258,6 +258,17 @@ def test_language_of_held_out_documents(spark, folder):
     assert {r.lang_pred for r in language_id.identify_languages(odd_docs(spark), none).collect()} == {"und"}
 
 
+def test_pii_copies_do_not_fill_the_sample(spark, monkeypatch):
+    rng = random.Random(7)
+    keys = ["".join(rng.choices("0123456789abcdef", k=30)) for _ in range(200)]
+    keys.sort(key=lambda k: zlib.crc32(f"secretthe token is {k} ".encode()))
+    copied = next(k for k in keys if zlib.crc32(f"secretthe token is {k} ".encode()) % 4)
+    texts = [f"the token is {k} and internationalization {k}" for k in keys[keys.index(copied) :]]
+    df = spark.createDataFrame(list(enumerate(texts + texts[:1] * 300)), "doc_id long, text string").repartition(8)
+    monkeypatch.setattr(pii, "SAMPLE_SPANS", 80)
+    assert pii.fit_pii(df)[1][2] <= 1
+
+
 def test_every_language_is_learned(spark):
     # 300 languages: each has a word of its own, and the last ones have the fewest texts.
     rng = random.Random(6)
