@@ -6,8 +6,11 @@ from musterline.llm.ann_prefix_forest import op4_ann_prefix_forest
 from musterline.llm.byte_bpe import op3_byte_bpe
 from musterline.llm.decontamination import op2_benchmark_decontamination
 from musterline.llm.language_id import op7_language_id
+from musterline.llm.lexical_search import OP11_SQL, op11_lexical_search
 from musterline.llm.license_scan import op5_license_scan
+from musterline.llm.merkle_manifest import OP12_SQL, op12_merkle_manifest
 from musterline.llm.ngram_jaccard_join import op1_ngram_jaccard_join
+from musterline.llm.piece_bpe import op13_sentencepiece
 from musterline.llm.pii import op6_pii
 from musterline.llm.quality_classifier import op8_quality_classifier
 from musterline.llm.toxicity import op10_toxicity
@@ -24,5 +27,8 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_sentencepiece": op13_sentencepiece,
 }
-ORACLE: dict[str, str] = {"op9_warc": OP9_SQL}
+ORACLE: dict[str, str] = {"op9_warc": OP9_SQL, "op11_lexical_search": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
