@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
 import sys
 
 import duckdb
@@ -55,6 +57,21 @@ def test_every_query_has_its_sql_and_rows():
     assert plain <= set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
+def test_the_rest_works_without_the_corpus_part(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    without = shutil.ignore_patterns("llm", "corpus_pipeline.py", "__pycache__")
+    shutil.copytree(f"{root}/musterline", tmp_path / "musterline", ignore=without)
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    told = "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    for pipeline in (False, True):  # with the pipeline's file left behind, and without it
+        if pipeline and os.path.exists(f"{root}/corpus_pipeline.py"):
+            shutil.copy(f"{root}/corpus_pipeline.py", tmp_path)
+        run = subprocess.run([sys.executable, "-B", "-c", told], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+        assert run.returncode == 0, run.stderr
+        names, with_sql = (line.split() for line in run.stdout.splitlines()[-2:])
+        assert names == with_sql == sorted(spark_entry.QUERIES)
+
+
 def test_entry(spark):
     rows = spark_entry.entry(spark).collect()
     assert sum(row["Headcount"] for row in rows) == 1500
