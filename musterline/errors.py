@@ -27,3 +27,7 @@ class SourceError(MusterlineError):
 
 class PublishConflictError(MusterlineError):
     """Another publisher took the same version of a table first."""
+
+
+class StreamOwnerError(MusterlineError):
+    """A stream would write into a folder that belongs to another stream or checkpoint."""

@@ -549,6 +549,13 @@ ORACLE["stream_contract_split"] = _with(
 SELECT ordinal, employee_id, CASE WHEN reasons = '' THEN 'clean' ELSE 'quarantine' END AS verdict,
        reasons FROM checked""",
 )
+ORACLE["stream_contract_split_batches"] = _with(
+    *_SPLIT_VIEWS,
+    query="""
+SELECT employee_id, count(*) AS rows, CASE WHEN employee_id IS NULL THEN 0 ELSE count(*) - 1 END AS repeated,
+       count(*) FILTER (reasons NOT IN ('', 'duplicate')) AS otherwise_bad
+FROM checked GROUP BY employee_id""",
+)
 ORACLE["clean_standardised"] = _with(
     *_TEXT_VIEWS,
     _PARSED,

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from musterline.errors import DuplicateKeyError, PublishConflictError
 from musterline.model import PASCAL, SNAKE, RosterColumns
 from musterline.operators.contracts import Contract, assert_contract
+from musterline.sources.folders import age_of, claim
 from musterline.sources.roster_files import file_headcount, path_is_missing, read_raw_csv, write_csv
 
+#: How long a publisher may take from the claim of a version to its entry in the ledger.
+CLAIM_SECONDS = 3600.0
 _LEDGER_SCHEMA = "version bigint, snapshot string, rows bigint, published_at timestamp"
 
 
@@ -25,23 +28,40 @@ def _ledger(spark: SparkSession, base: str) -> DataFrame:
         return spark.createDataFrame([], _LEDGER_SCHEMA)
 
 
+def _last(spark: SparkSession, base: str):
+    """The ledger entry of the highest version, or None."""
+    return _ledger(spark, base).orderBy(F.desc("version"), "published_at", "snapshot").first()
+
+
 def _current(spark: SparkSession, base: str) -> str | None:
-    """Folder of the highest version. If two publishers took it at once, the first one holds it."""
-    last = _ledger(spark, base).orderBy(F.desc("version"), "published_at", "snapshot").first()
+    last = _last(spark, base)
     return f"{base}/snapshots/{last['snapshot']}" if last else None
 
 
-def _enter(spark: SparkSession, base: str, name: str, rows: int) -> None:
-    """Make a complete snapshot the current one, or raise PublishConflictError."""
-    version = (_ledger(spark, base).agg(F.max("version")).first()[0] or 0) + 1
+def _enter(
+    spark: SparkSession, base: str, name: str, rows: int, after: int | None = None, grace: float = CLAIM_SECONDS
+) -> int:
+    """Make a complete snapshot the current one and return its version, or raise PublishConflictError.
+
+    A version is claimed before it is entered, and a claim cannot be made twice, so of two publishers at
+    once one gets the version and the other is told. With ``after``, the snapshot was made from that
+    version and may only follow it. A claim whose publisher has not entered it within ``grace`` seconds
+    counts as given up; its number is left out.
+    """
+    last = _ledger(spark, base).agg(F.max("version")).first()[0] or 0
+    if after is not None and last != after:
+        raise PublishConflictError(f"version {last} was published since version {after} was read")
+    version = last + 1
+    while not claim(spark, f"{base}/claims/{version}", name):
+        entered = _ledger(spark, base).where(F.col("version") >= version).count()
+        if entered or age_of(spark, f"{base}/claims/{version}") < grace:
+            raise PublishConflictError(f"version {version} was claimed by another job")
+        version += 1
     entry = spark.createDataFrame([(version, name, rows)], "version bigint, snapshot string, rows bigint")
     entry.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
         f"{base}/published"
     )
-    same = _ledger(spark, base).where(F.col("version") == version)
-    holder = same.orderBy("published_at", "snapshot").first()["snapshot"]
-    if holder != name:
-        raise PublishConflictError(f"version {version} was published by another job: {holder}")
+    return version
 
 
 def current_snapshot(spark: SparkSession, base: str) -> DataFrame | None:

@@ -67,6 +67,44 @@ def test_the_later_of_two_publishers_is_told(spark, tmp_path, monkeypatch):
     assert [r["employee_id"] for r in snapshots.current_snapshot(spark, base).collect()] == [1]
 
 
+def test_of_publishers_at_once_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from musterline.sources import folders
+
+    mark = f"{tmp_path}/claims/1"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: folders.claim(spark, mark, f"job {i}"), range(8)))
+    assert won.count(True) == 1 and folders.read_mark(spark, mark) == f"job {won.index(True)}"
+    assert folders.read_mark(spark, f"{tmp_path}/none") is None and folders.children(spark, f"{tmp_path}/none") == []
+
+    base = f"{tmp_path}/table"
+
+    def publish(i):
+        try:
+            return snapshots.full_reload(people(spark, (i, "a", "HR", 1.0)), base)[0]
+        except PublishConflictError:
+            return None
+
+    with ThreadPoolExecutor(3) as pool:
+        rows = list(pool.map(publish, range(3)))
+    versions = [r["version"] for r in snapshots._ledger(spark, base).collect()]
+    assert len(versions) == len(set(versions)) == rows.count(1) >= 1
+    assert snapshots.current_snapshot(spark, base).count() == 1
+
+
+def test_a_claim_that_was_given_up_is_passed_over(spark, tmp_path):
+    from musterline.sources import folders
+
+    base = f"{tmp_path}/table"
+    assert folders.claim(spark, f"{base}/claims/1", "crashed")
+    with pytest.raises(PublishConflictError):
+        snapshots._enter(spark, base, "mine", 1)
+    assert snapshots._enter(spark, base, "mine", 1, grace=0.0) == 2
+    with pytest.raises(PublishConflictError):
+        snapshots._enter(spark, base, "later", 1, after=1)
+
+
 def test_a_contract_guards_the_reload(spark, tmp_path):
     with pytest.raises(ContractError):
         snapshots.full_reload(people(spark, (1, "a", "HR", -1.0)), f"{tmp_path}/t", contract=TABLE)
