@@ -17,7 +17,7 @@ from musterline.functions.numbers import (
 )
 from musterline.functions.text import finite
 from musterline.model import SNAKE, RosterColumns
-from musterline.operators.quantiles import exact_quantiles
+from musterline.operators.quantiles import approximate_quantiles, exact_quantiles
 
 TOTAL_LABEL = "Grand Total"
 
@@ -37,8 +37,14 @@ def top_earners(df: DataFrame, n: int = 5, columns: RosterColumns = SNAKE) -> Da
     )
 
 
-def kpis(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
-    """One row with the ten scalar indicators."""
+def kpis(
+    df: DataFrame, columns: RosterColumns = SNAKE, median_rank_error: float | None = None
+) -> DataFrame:
+    """One row with the ten scalar indicators.
+
+    The median is exact, in two or more scans, unless ``median_rank_error`` allows it to be a value whose
+    rank is off by that share of the rows; then all indicators come from one scan.
+    """
     c = columns
     salary, score = F.col(c.salary), F.col(c.score)
     high = F.count_if(is_high(score))
@@ -56,7 +62,11 @@ def kpis(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
             round_half_up(F.try_divide(high.cast("double"), headcount) * 100), F.lit(0.0)
         ).alias("HighPerformersRatio"),
     )
-    median = exact_quantiles(df, c.salary, [0.5], names=["median"]).select("median").scalar()
+    if median_rank_error is None:
+        found = exact_quantiles(df, c.salary, [0.5], names=["median"])
+    else:
+        found = approximate_quantiles(df, c.salary, [0.5], names=["median"], rank_error=median_rank_error)
+    median = found.select("median").scalar()
     return scalars.withColumn("MedianSalary", round_half_up(median)).select(
         "Headcount",
         "TotalSalaryExpense",

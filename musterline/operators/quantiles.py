@@ -15,7 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from musterline.functions.text import finite
-from musterline.operators.small_side import SMALL_ROWS, collect_if_small, null_safe_join
+from musterline.operators.small_side import (
+    SMALL_ROWS,
+    collect_if_small,
+    join_statistics,
+    null_safe_join,
+)
 from musterline.session import written
 
 BUCKETS_PER_E = 1024
@@ -177,3 +182,73 @@ def exact_quantiles(
             (F.col(f"__v{index}_0") * (1 - share) + F.col(f"__v{index}_1") * share).alias(name)
         )
     return per_group.select(*by, "n", *result)
+
+
+def approximate_quantiles(
+    df: DataFrame,
+    value: str,
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+    rank_error: float = 0.001,
+) -> DataFrame:
+    """One row per group with values that stand near the wanted ranks: one scan, no job when called.
+
+    The opt-in for reports that need no exact figure. Each answer is a value of the group whose rank is at
+    most ``rank_error`` times its rows away from the wanted one. Summaries of that precision are made on
+    the map side and merged, so a group takes some 1 / ``rank_error`` numbers of a task, whatever its rows;
+    nothing is interpolated. Nulls and NaN are ignored, a group without other values gives nulls. Columns as
+    in :func:`exact_quantiles`.
+    """
+    names = list(names or [f"q{i}" for i in range(len(probabilities))])
+    number = finite(F.col(value).cast("double"))
+    # A merged summary may be off by twice what each part is.
+    accuracy = F.lit(int(2 / rank_error) + 1)
+    found = F.percentile_approx(number, [float(p) for p in probabilities], accuracy).alias("__q")
+    rows = df.groupBy(*by).agg(F.count(number).alias("n"), found)
+    return rows.select(*by, "n", *[F.get("__q", F.lit(i)).alias(name) for i, name in enumerate(names)])
+
+
+def rank_distances(
+    df: DataFrame,
+    value: str,
+    answers: DataFrame,
+    probabilities: Sequence[float],
+    names: Sequence[str],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """How far each answer's exact rank is from the wanted one: (groups, name, n, wanted, distance).
+
+    Ranks run from 0. An answer that stands for several equal values has all their ranks, and the nearest one
+    counts; distance is 0 if the wanted rank lies between them. One scan with the answers, one row per group,
+    joined to it; null answers give no row.
+    """
+    numbers = df.select(*by, finite(F.col(value).cast("double")).alias("__value")).where("__value is not null")
+    if by:
+        joined = join_statistics(numbers, answers.select(*by, *names), list(by))
+    else:
+        row = answers.select(F.struct(*names).alias("row")).scalar()
+        joined = numbers.withColumns({name: row[name] for name in names})
+    counts = [
+        agg
+        for i, name in enumerate(names)
+        for agg in (
+            F.count_if(F.col("__value") < F.col(name)).alias(f"__below{i}"),
+            F.count_if(F.col("__value") <= F.col(name)).alias(f"__upto{i}"),
+        )
+    ]
+    ranks = joined.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.first(n).alias(n) for n in names], *counts)
+    each = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                (F.lit(float(p)) * (F.col("n") - 1)).alias("wanted"),
+                F.when(F.col(name).isNotNull(), F.col(f"__below{i}").cast("double")).alias("first"),
+                (F.col(f"__upto{i}") - 1).cast("double").alias("last"),
+            )
+            for i, (name, p) in enumerate(zip(names, probabilities))
+        ]
+    )
+    rows = ranks.select(*by, "n", F.explode(each).alias("r")).where("r.first is not null")
+    distance = F.greatest(F.col("r.first") - F.col("r.wanted"), F.col("r.wanted") - F.col("r.last"), F.lit(0.0))
+    return rows.select(*by, F.col("r.name").alias("name"), "n", F.col("r.wanted").alias("wanted"), distance.alias("distance"))

@@ -294,6 +294,27 @@ SELECT (SELECT count(*) FROM roster) AS Headcount,
                                     Department), ';' ORDER BY Salary DESC, EmployeeID)
         FROM top) AS Top5Earners""",
 )
+ORACLE["kpis_approximate"] = _with(
+    _ROSTER,
+    _TENURED,
+    query=f"""
+SELECT * EXCLUDE (MedianSalary), true AS median_within_bound FROM ({_kpis("tenured")}) AS exact""",
+)
+
+
+def _within(group: str, source: str, where: str) -> str:
+    """Per group and quartile, the rank wanted; every approximate answer must be within its bound."""
+    key, by = (f"{group}, ", f"GROUP BY {group}") if group else ("", "")
+    return f"""
+SELECT {key}name, n, p * (n - 1) AS wanted, true AS within_bound
+FROM (SELECT {key}count(*) AS n FROM {source} WHERE {where} {by}) AS counted,
+     (VALUES ('q1', 0.25::DOUBLE), ('median', 0.5::DOUBLE), ('q3', 0.75::DOUBLE)) AS quartiles(name, p)"""
+
+
+ORACLE["median_approximate"] = _with(
+    _ROSTER, _DAMAGED, query=_within("department", "damaged", "salary IS NOT NULL")
+)
+ORACLE["quartiles_approximate"] = _within("", "events", "value IS NOT NULL")
 ORACLE["top_earners"] = _with(_ROSTER, _TOP, query="SELECT * FROM top")
 
 

@@ -23,7 +23,7 @@ from musterline.operators import (
     reports,
     search,
 )
-from musterline.operators.quantiles import exact_quantiles
+from musterline.operators.quantiles import approximate_quantiles, exact_quantiles, rank_distances
 from musterline.plans import views
 from musterline.session import work_folder, written
 from musterline.sources import payloads, roster_files, snapshots
@@ -655,6 +655,38 @@ def quantiles_of_times(spark: SparkSession, folder: str) -> DataFrame:
     return _quartiles(spark, folder, F.col("ts").cast("timestamp").cast("double"), 1.0)
 
 
+def _rank_checks(rows: DataFrame, value: str, by: tuple[str, ...], error: float) -> DataFrame:
+    """Per group and quartile, whether the approximate answer's exact rank is within the error allowed."""
+    answers = written(approximate_quantiles(rows, value, [0.25, 0.5, 0.75], by, _QUARTILES, error))
+    found = rank_distances(rows, value, answers, [0.25, 0.5, 0.75], _QUARTILES, by)
+    within = F.col("distance") <= F.col("n") * F.lit(error) + 1
+    return found.select(*by, "name", "n", "wanted", within.alias("within_bound"))
+
+
+@register
+def median_approximate(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _written(views.damaged_roster(spark, folder), SNAKE.department, SNAKE.salary)
+    return _rank_checks(rows, SNAKE.salary, (SNAKE.department,), 0.001)
+
+
+@register
+def quartiles_approximate(spark: SparkSession, folder: str) -> DataFrame:
+    """Of all event values, coarsely: a few hundred numbers summarise the table."""
+    rows = views.table(spark, folder, "events").select("value")
+    return _rank_checks(rows, "value", (), 0.01)
+
+
+@register
+def kpis_approximate(spark: SparkSession, folder: str) -> DataFrame:
+    """All indicators but the median as exact ones, the median by how far it is from the exact one."""
+    rows = _written(views.roster_with_tenure(spark, folder), *_MEASURES)
+    near = written(metrics.kpis(rows, median_rank_error=0.001))
+    exact = exact_quantiles(rows, SNAKE.salary, [0.499, 0.501], names=["low", "high"])
+    bounds = exact.select(F.struct("low", "high").alias("b")).scalar()
+    inside = F.col("MedianSalary").between(bounds["low"] - 0.01, bounds["high"] + 0.01)
+    return near.withColumn("MedianSalary", inside).withColumnRenamed("MedianSalary", "median_within_bound")
+
+
 @register
 def salary_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Order prices have no outliers within a segment; event values within a type do."""

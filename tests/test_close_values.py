@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from musterline.operators import changes
 from musterline.operators.quantiles import exact_quantiles
 from musterline.operators.small_side import fits_in_bytes
@@ -60,3 +62,22 @@ def test_offers_are_judged_one_by_one(spark):
         6: ["id"], 7: ["id"], 8: ["name"], 9: ["salary"],
     }
     assert changes.checked_offers(table, batch.limit(0), "offer").isEmpty()
+
+
+def test_approximate_quantiles_state_their_rank(spark):
+    from musterline.operators.quantiles import approximate_quantiles, rank_distances
+
+    rows = spark.range(0, 40_000, 1, 7).select(
+        F.when(F.col("id") % 2 == 0, "even").alias("g"),
+        F.when(F.col("id") % 11 == 0, float("nan")).when(F.col("id") % 13 != 0, F.log(F.col("id") + 1)).alias("x"),
+    )
+    rows = rows.unionByName(spark.createDataFrame([("alone", 5.0), ("none", None)], "g string, x double"))
+    ps, names = [0.0, 0.25, 0.5, 0.99, 1.0], ["low", "q1", "median", "p99", "high"]
+    near = approximate_quantiles(rows, "x", ps, ["g"], names, rank_error=0.01)
+    assert {(r["g"], r["median"]) for r in near.collect()} >= {("alone", 5.0), ("none", None)}
+    found = rank_distances(rows, "x", near, ps, names, ["g"]).collect()
+    assert {r["g"] for r in found} == {"even", None, "alone"}
+    assert all(r["distance"] <= 0.01 * r["n"] + 1 for r in found)
+    # An answer that is not there is told apart.
+    wrong = near.withColumn("median", F.col("q1"))
+    assert max(r["distance"] / r["n"] for r in rank_distances(rows, "x", wrong, ps, names, ["g"]).collect()) > 0.2
