@@ -432,6 +432,17 @@ ORACLE["delete_rows"] = _with(
 SELECT {_BASE} FROM roster
 WHERE employee_id NOT IN (SELECT event_id + 1 FROM events WHERE event_type = 'error')""",
 )
+ORACLE["update_files"] = ORACLE["update_rows"]
+ORACLE["delete_files"] = ORACLE["delete_rows"]
+ORACLE["files_kept_by_update"] = """
+SELECT count(*) AS rows, least(count(*), 10) AS renamed, 1 AS files_replaced FROM orders
+"""
+ORACLE["create_if_missing"] = _with(_event_rows("event_id + 1"), query=f"SELECT {_BASE} FROM changed")
+_LEGAL = "salary BETWEEN 15000 AND 300000 AND performance_score BETWEEN 1 AND 5"
+ORACLE["recheck_on_read"] = _with(_ROSTER, query=f"SELECT {_BASE} FROM roster WHERE {_LEGAL}")
+ORACLE["recheck_violations"] = _with(
+    _ROSTER, query=f"SELECT employee_id, 'salary' AS reasons FROM roster WHERE NOT ({_LEGAL})"
+)
 ORACLE["merge_sources"] = _with(
     _ROSTER,
     _USERS,
@@ -447,6 +458,7 @@ ORACLE["lookup_by_id"] = _with(
     _ROSTER,
     query=f"SELECT {_BASE} FROM roster WHERE employee_id IN (SELECT user_id FROM events)",
 )
+ORACLE["lookup_in_files"] = ORACLE["lookup_by_id"]
 ORACLE["scan_ordered"] = _with(_ROSTER, query=f"SELECT {_BASE} FROM roster ORDER BY employee_id")
 ORACLE["search_name"] = _with(
     _ROSTER, query=f"SELECT {_BASE} FROM roster WHERE name ILIKE '%cust_MER#%9%'"

@@ -26,7 +26,7 @@ from musterline.operators import (
 from musterline.operators.quantiles import approximate_quantiles, exact_quantiles, rank_distances
 from musterline.plans import views
 from musterline.session import work_folder, written
-from musterline.sources import payloads, roster_files, snapshots
+from musterline.sources import file_table, payloads, roster_files, snapshots
 from musterline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +251,69 @@ def merge_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- a table of immutable files ----------------------------------------------------------------
+
+
+def _file_table(spark: SparkSession, folder: str, parts: int = 12) -> file_table.FileTable:
+    rows = _stored(views.roster(spark, folder))
+    return file_table.replace_rows(rows, work_folder(spark), contract=contracts.TABLE, parts=parts)
+
+
+@register
+def update_files(spark: SparkSession, folder: str) -> DataFrame:
+    table = _file_table(spark, folder)
+    changed = views.event_rows(spark, folder, F.col("event_id") + 1)
+    return file_table.update(spark, table, changed).read(spark)
+
+
+@register
+def delete_files(spark: SparkSession, folder: str) -> DataFrame:
+    table = _file_table(spark, folder)
+    errors = views.table(spark, folder, "events").where("event_type = 'error'")
+    return file_table.delete(spark, table, errors.select((F.col("event_id") + 1).alias(SNAKE.id))).read(spark)
+
+
+@register
+def files_kept_by_update(spark: SparkSession, folder: str) -> DataFrame:
+    """A change of the ten lowest keys: one file is written anew, the others belong to both versions."""
+    table = _file_table(spark, folder)
+    rows = table.read(spark)
+    lowest = written(rows.orderBy(SNAKE.id).limit(10).withColumn(SNAKE.name, F.lit("Renamed")))
+    changed = file_table.update(spark, table, lowest)
+    kept = len(set(table.files) & set(changed.files))
+    return changed.read(spark).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(SNAKE.name) == "Renamed").alias("renamed"),
+        F.lit(len(table.files) - kept).alias("files_replaced"),
+    )
+
+
+@register
+def lookup_in_files(spark: SparkSession, folder: str) -> DataFrame:
+    keys = views.table(spark, folder, "events").select(F.col("user_id").alias(SNAKE.id))
+    return file_table.find(spark, _file_table(spark, folder), keys)
+
+
+@register
+def create_if_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Created, filled, and not emptied by being created again."""
+    base = work_folder(spark)
+    table = file_table.create_if_missing(spark, base)
+    table = file_table.insert(spark, table, views.event_rows(spark, folder, F.col("event_id") + 1))
+    return file_table.create_if_missing(spark, base).read(spark)
+
+
+@register
+def recheck_on_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that are legal in the table but break the entity's contract are left out when it is read."""
+    return file_table.read_checked(spark, _file_table(spark, folder), views.SEGMENT_ENTITY, "quarantine")
+
+
+@register
+def recheck_violations(spark: SparkSession, folder: str) -> DataFrame:
+    found = file_table.violations(spark, _file_table(spark, folder), views.SEGMENT_ENTITY)
+    return _reason_text(found).select(SNAKE.id, "reasons")
+
+
 # --- lookups, searches, projections ------------------------------------------------------------
 
 
