@@ -222,6 +222,59 @@ def test_pii_base_spans_stay_and_texts_are_redacted(spark):
     assert pii.find_pii(df.limit(0), pii.fit_pii(df.limit(0))).count() == 0
 
 
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    """The base rules as they are worded."""
+    found = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m.group() if c in "0123456789"]
+            doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+            good = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 13 <= len(digits) <= 19 and sum(doubled) % 10 == 0,
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                found.append((kind, *m.span()))
+    return found
+
+
+def test_pii_base_rules_equal_the_plain_patterns():
+    rng = random.Random(8)
+    bits = ["a@b.c", "@", ".", "a", "-", "+", " ", "1", "25", "255", "256", "0", "007", "4111 1111 1111 1111", "5500-0000-0000-0004", "x@y", "é", "(", ")", "\n", "%_"]
+    for _ in range(6000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 25)))
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_pii_long_runs_take_linear_time(spark):
+    import time
+
+    runs = ["a" * 10**6 + " x@y", "1" * 10**6, "1.2.3." + "4" * 10**6, "1." * 10**6, "." * 10**6, "@" * 10**6, "a@" * 10**6, "+1 " + " " * 10**6]
+    runs += ["a[at]" * 200_000, "1 " * 10**6, "a@b." * 200_000 + "c", " (at) " * 100_000, "-" * 10**6, "a" * 10**6 + " [at] host [dot] org"]
+    model = pii.Trees().fit(np.zeros((1, len(pii.features("1", "number", 0, 1)))), np.zeros(1)), [0.0] * 3
+    for text in runs:
+        started = time.perf_counter()
+        pii.all_spans(text, model)
+        assert time.perf_counter() - started < 20, (text[:20], time.perf_counter() - started)
+    # Long names and endings are proposed whole.
+    long = "n" * 90 + " [at] host [dot] " + "o" * 40
+    assert ("email", 4, 4 + len(long)) in pii.proposals("see " + long)
+    # Nothing of the number of digits stops a job.
+    docs = spark.createDataFrame([(1, "1.2.3." + "4" * 5000), (2, "1.2.3.000000255"), (3, None)], "doc_id long, text string")
+    found = {r["doc_id"]: len(r["base"]) for r in pii.find_pii(docs, pii.fit_pii(docs)).collect()}
+    assert found == {1: 0, 2: 1, 3: 0}
+
+
 def test_pii_finds_hidden_addresses(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(4, 9)))
