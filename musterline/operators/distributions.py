@@ -12,6 +12,8 @@ from musterline.operators.small_side import collect_if_small, join_statistics, n
 
 WHISKER_REACH = 1.5
 GRID_POINTS = 100
+#: Cells of a density per bandwidth, and powers kept of each.
+CELLS_PER_WIDTH, MOMENTS = 16, 8
 POINTS_PER_RUN = 25
 
 
@@ -124,13 +126,32 @@ def violin_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
+def _series() -> list[Column]:
+    """Coefficients by powers of z of what a cell's rows add to exp(-z^2 / 2).
+
+    exp(-(z - d)^2 / 2) is exp(-z^2 / 2) times the sum of He_k(z) d^k / k!, He being the Hermite polynomials.
+    """
+    hermite = [[1.0], [0.0, 1.0]]
+    for k in range(1, MOMENTS - 1):
+        longer = [0.0, *hermite[k]]
+        for j, c in enumerate(hermite[k - 1]):
+            longer[j] -= k * c
+        hermite.append(longer)
+    return [
+        sum((F.col(f"__m{k}") * (hermite[k][j] / math.factorial(k)) for k in range(j, MOMENTS) if hermite[k][j]), F.lit(0.0))
+        for j in range(MOMENTS)
+    ]
+
+
 def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) -> DataFrame:
     """Gaussian kernel density per non-null group on ``points`` evenly spaced values.
 
     Bandwidth: sample deviation times n^(-1/5). A group of equal values has density 1 at that
-    value. Equal values are counted first, so the kernel is evaluated per different value of a
-    group, not per row. A value meets only its own group's grid, and the partial sums leave at most
-    points x groups values per task.
+    value. Rows are summed up per cell of 1 / CELLS_PER_WIDTH bandwidths, as powers of the distance
+    to its middle, and the kernel is evaluated per cell: a row costs a few products, however many
+    points there are, and only cells are shuffled. With MOMENTS powers the kernel's series around
+    the middle of a cell is off by less than 1e-13 of its height. A cell meets only its own group's
+    grid, and the partial sums leave at most points x groups values per task.
     """
     values = _finite_values(df.where(F.col(group).isNotNull()), value, group)
     deviation = F.stddev_samp("__x")
@@ -142,17 +163,26 @@ def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) ->
     )
     small = collect_if_small(stats)
     stats = F.broadcast(small) if small is not None else stats
-    # In bandwidths: the distance from a value to the first grid point, and between grid points.
     # Null for a group of equal values, whose step is zero.
     width = F.when(F.col("__step") > 0, F.col("__h"))
-    weighted = values.groupBy(group, "__x").agg(F.count(F.lit(1)).alias("__weight"))
-    scaled = null_safe_join(weighted, stats, [group], "inner").select(
+    placed = null_safe_join(values, stats, [group], "inner").select(
+        group, ((F.col("__x") - F.col("__lo")) / width).alias("__u")
+    )
+    placed = placed.withColumn("__cell", F.floor(F.col("__u") * CELLS_PER_WIDTH))
+    placed = placed.withColumn("__d", F.col("__u") - (F.col("__cell") + 0.5) / CELLS_PER_WIDTH)
+    powers, power = [], F.lit(1.0)
+    for k in range(MOMENTS):
+        powers.append(F.sum(power).alias(f"__m{k}"))
+        power = power * F.col("__d")
+    cells = placed.groupBy(group, "__cell").agg(*powers)
+    # In bandwidths: the distance from a cell's middle to the first grid point, and between grid points.
+    scaled = null_safe_join(cells, stats, [group], "inner").select(
         group,
-        "__weight",
-        ((F.col("__lo") - F.col("__x")) / width).alias("__start"),
+        *[c.alias(f"__a{j}") for j, c in enumerate(_series())],
+        (-(F.col("__cell") + 0.5) / CELLS_PER_WIDTH).alias("__start"),
         (F.col("__step") / width).alias("__stride"),
     )
-    # A value is repeated once per run of neighbouring points, not once per point: the sums of a
+    # A cell is repeated once per run of neighbouring points, not once per point: the sums of a
     # run are columns of one aggregation.
     runs = math.ceil(points / POINTS_PER_RUN)
     repeated = scaled.withColumn("__run", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))))
@@ -160,7 +190,10 @@ def density(df: DataFrame, group: str, value: str, points: int = GRID_POINTS) ->
     def kernel(offset: int) -> Column:
         point = F.col("__run") * POINTS_PER_RUN + offset
         z = F.col("__start") + point * F.col("__stride")
-        return F.col("__weight") * F.exp(F.lit(-0.5) * z * z)
+        series = F.col(f"__a{MOMENTS - 1}")
+        for j in reversed(range(MOMENTS - 1)):
+            series = series * z + F.col(f"__a{j}")
+        return series * F.exp(F.lit(-0.5) * z * z)
 
     offsets = range(POINTS_PER_RUN)
     sums = repeated.groupBy(group, "__run").agg(

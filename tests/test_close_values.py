@@ -81,3 +81,18 @@ def test_approximate_quantiles_state_their_rank(spark):
     # An answer that is not there is told apart.
     wrong = near.withColumn("median", F.col("q1"))
     assert max(r["distance"] / r["n"] for r in rank_distances(rows, "x", wrong, ps, names, ["g"]).collect()) > 0.2
+
+
+def test_density_of_continuous_values_is_exact_to_many_digits(spark):
+    import numpy as np
+
+    from musterline.operators.distributions import density
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1, 3000), rng.exponential(5, 500), [400.0]])
+    rows = spark.createDataFrame([("g", float(v)) for v in x], "g string, x double")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    found = density(rows, "g", "x", 50).orderBy("point").collect()
+    at = np.array([r["at"] for r in found])
+    expected = np.exp(-0.5 * ((at[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.abs(np.array([r["density"] for r in found]) - expected).max() < 1e-13 / h
