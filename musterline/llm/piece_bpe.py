@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from musterline.llm.text_hashing import slices, with_fields
 
 #: About so many bytes of segments and their ids are remembered by a worker; when full, it starts anew.
-REMEMBERED = 96 << 20
+REMEMBERED = 160 << 20
 #: What an entry takes besides its characters and ids.
 _ENTRY = 200
 #: Segments from here on have an agenda of their own; they are cut at every border first.
@@ -34,6 +34,8 @@ LONG = 33
 #: Agendas that take their steps together.
 ROWS = 4096
 SPACE = "▁"
+#: A sign that no text should hold; columns with one are cut by Python.
+MARK = "\U0010ffff"
 # Numbers of fields and types in the model format.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
@@ -127,10 +129,14 @@ class Vocabulary:
         self.pairs = np.array(sorted(made) or [-1], np.int64)
         self.pair_rank = np.array([made.get(int(x), (0, 0))[0] for x in self.pairs], np.int64)
         self.pair_makes = np.array([made.get(int(x), (0, 0))[1] for x in self.pairs], np.int64)
-        single = sorted(t for t in self.id if len(t) == 1)
-        self.codes = np.array([ord(t) for t in single], np.uint32)
-        self.code_ids = np.array([symbols[t] for t in single], np.int64)
-        self.single = set(single)
+        # Characters that become one id by themselves: pieces, and those of one byte.
+        lone = {t: symbols[t] for t in self.id if len(t) == 1}
+        lone |= {chr(b): self.byte_id[b] for b in range(128) if chr(b) not in symbols}
+        self.single = set(lone)
+        self.codes = np.array([ord(t) for t in sorted(lone)], np.uint32)
+        self.code_ids = np.array([lone[t] for t in sorted(lone)], np.int64)
+        #: ASCII characters in no piece: a border on both sides.
+        self.apart = "".join(chr(b) for b in range(128) if chr(b) not in symbols)
         self.cut_at_spaces = not any(j[1] == SPACE and j[0] != SPACE for j in self.joined)
 
 
@@ -139,7 +145,12 @@ class Encoder:
         self.v = vocabulary
         self.known: dict[str, bytes] = {}
         self.held = 0
-        self.split = re.compile(f"{SPACE}+[^{SPACE}]*").findall if vocabulary.cut_at_spaces else lambda t: [t]
+        apart = re.escape(vocabulary.apart)
+        inner = f"[^{SPACE}{apart}]"
+        borders = re.compile(f"{SPACE}+{inner}*|{inner}+" + (f"|[{apart}]+" if apart else ""))
+        self.split = borders.findall if vocabulary.cut_at_spaces else lambda t: [t]
+        #: Besides runs of white space, borders of a column: a line feed, if it is in no piece.
+        self.lines = "\n" in vocabulary.apart
 
     def merge(self, s: str) -> list[int]:
         """Piece ids of a segment: adjacent pairs by score, the best and leftmost first."""
@@ -234,17 +245,19 @@ class Encoder:
 
     def _merged(self, segments: list[str]) -> list[bytes]:
         out = [b""] * len(segments)
-        by_width: dict[int, list[int]] = {}
-        for i, s in enumerate(segments):
-            if len(s) < LONG and self.v.single.issuperset(s):
-                by_width.setdefault(1 << (len(s) - 1).bit_length(), []).append(i)
-            else:
-                out[i] = self._segment(s)
-        for width, places in by_width.items():
+        short = np.fromiter(map(len, segments), np.int64, len(segments))
+        short[short >= LONG] = 0
+        short *= np.fromiter(map(self.v.single.issuperset, segments), bool, len(segments))
+        for i in np.flatnonzero(short == 0).tolist():
+            out[i] = self._segment(segments[i])
+        width = 1
+        while width < 2 * LONG:
+            places = np.flatnonzero((short > width // 2) & (short <= width)).tolist()
             for start in range(0, len(places), ROWS):
                 part = places[start : start + ROWS]
                 for i, ids in zip(part, self._merge_rows([segments[i] for i in part], width)):
                     out[i] = ids
+            width *= 2
         return out
 
     def _segment(self, s: str) -> bytes:
@@ -257,17 +270,61 @@ class Encoder:
                 start = i
         return b"".join([*out, array("i", self.merge(s[start:])).tobytes()])
 
+    def _trim(self) -> None:
+        if self.held > REMEMBERED:
+            self.known.clear()
+            self.held = 0
+
+    def _learn(self, segments: set[str]) -> None:
+        new = list(segments - self.known.keys())
+        ids = self._merged(new)
+        self.known.update(zip(new, ids))
+        self.held += _ENTRY * len(new) + 2 * sum(map(len, new)) + sum(map(len, ids))
+
+    def encode_column(self, column: pa.Array) -> pa.Array:
+        """:meth:`encode` for a string column, as a list column.
+
+        Arrow puts a mark before every border and finds the different segments; Python sees each of these once.
+        """
+        texts = pc.fill_null(column.cast(pa.large_string()), "")
+        if not self.v.cut_at_spaces or pc.any(pc.match_substring(texts, MARK)).as_py():
+            return _lists(self.encode(texts.to_pylist()))
+        self._trim()
+        n = len(texts)
+        sign, nothing = pa.scalar(SPACE, pa.large_string()), pa.scalar("", pa.large_string())
+        signed = pc.binary_join_element_wise(sign, pc.replace_substring(texts, " ", SPACE), nothing)
+        signed = pc.if_else(pc.equal(pc.binary_length(texts), 0), nothing, signed)
+        marked = pc.replace_substring(signed, SPACE, MARK + SPACE)
+        inner = SPACE + MARK + SPACE
+        while pc.any(pc.match_substring(marked, inner)).as_py():  # a run has one mark; each turn halves the rest
+            marked = pc.replace_substring(marked, inner, SPACE + SPACE)
+        if self.lines:
+            marked = pc.replace_substring(marked, "\n", f"{MARK}\n{MARK}")
+        parts = pc.split_pattern(marked, MARK)
+        words = parts.flatten().dictionary_encode()
+        unique = words.dictionary.to_pylist()
+        self._learn(set(unique) - {""})
+        known = self.known
+        found = [known[s] if s else b"" for s in unique]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        which = words.indices.to_numpy(zero_copy_only=False)
+        size = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = np.frombuffer(b"".join(found), np.int32)[np.arange(ends[-1]) + np.repeat(starts[which] - ends[:-1], size)]
+        # Per text its ids, then the end id.
+        bounds = ends[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        out = np.empty(len(ids) + n, np.int32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(bounds))] = ids
+        out[bounds[1:] + np.arange(n)] = self.v.end_id
+        return pa.ListArray.from_arrays(pa.array((bounds + np.arange(n + 1)).astype(np.int32)), pa.array(out))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text and the end id, as the bytes of int32 numbers; null counts as empty."""
+        self._trim()
         known, ending = self.known, array("i", [self.v.end_id]).tobytes()
-        if self.held > REMEMBERED:
-            known.clear()
-            self.held = 0
         cut = [self.split(SPACE + t.replace(" ", SPACE)) if t else () for t in texts]
-        new = list({s for parts in cut for s in parts} - known.keys())
-        for s, ids in zip(new, self._merged(new)):
-            known[s] = ids
-            self.held += _ENTRY + 2 * len(s) + len(ids)
+        self._learn(set().union(*cut))
         return [b"".join([*map(known.__getitem__, parts), ending]) for parts in cut]
 
 
@@ -346,7 +403,7 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", i
     def encoded(batches):
         encoder = _worker(sent.value)[0]
         for part in slices(batches, text, size=2 << 20):
-            column = _lists(encoder.encode(part.column(text).to_pylist()))
+            column = encoder.encode_column(part.column(text))
             yield pa.record_batch([*part.columns, column], names=[*part.schema.names, ids])
 
     return kept.mapInArrow(encoded, with_fields(kept.schema, f"`{ids}` array<int>"))
@@ -384,17 +441,19 @@ def encoded_and_checked(docs: DataFrame, vocabulary: Vocabulary, text: str = "te
 
     def both(batches):
         encoder, decoder, library = _worker(sent.value)
-        for part in slices(batches, text, rows=256, size=1 << 20):
+        for part in slices(batches, text, size=2 << 20):
+            found = encoder.encode_column(part.column(text))
+            ids, bounds = found.values.to_numpy(), found.offsets.to_numpy()
+            decoded = [decoder.decode(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
             texts = [t or "" for t in part.column(text).to_pylist()]
-            found = encoder.encode(texts)
-            decoded = [decoder.decode(np.frombuffer(x, np.int32)) for x in found]
             theirs = library.encode(texts, add_bos=False, add_eos=True, num_threads=1)
             shown = library.decode(theirs, num_threads=1)
             agrees = [
-                a == array("i", b).tobytes() and c == d.encode() for a, b, c, d in zip(found, theirs, decoded, shown)
+                array("i", x).tobytes() == ids[a:b].tobytes() and y.encode() == z
+                for x, a, b, y, z in zip(theirs, bounds, bounds[1:], shown, decoded)
             ]
             yield pa.record_batch(
-                [*part.columns, _lists(found), pa.array(decoded, pa.binary()), pa.array(agrees, pa.bool_())],
+                [*part.columns, found, pa.array(decoded, pa.binary()), pa.array(agrees, pa.bool_())],
                 names=[*part.schema.names, "ids", "decoded", "agrees"],
             )
 

@@ -185,6 +185,11 @@ def test_pieces_equal_the_library(vocabulary):
     encoder, decoder = piece_bpe.Encoder(vocabulary), piece_bpe.Decoder(vocabulary)
     texts = ["", " ", "   a  b   ", "\n\n x\t y", "▁a ▁▁ b", "<s> </s> <unk>", "é中文🎉​", "a" * 5000, " " * 3000, "x=0;" * 400, "\x00\x01 a\r\n", "０１２"]
     texts += ["".join(rng.choice("ab eé ▁\n中🎉.,0thin") for _ in range(rng.randrange(200))) for _ in range(800)]
+    import pyarrow as pa
+
+    for more in ([], ["\U0010ffff a  b\n", None]):  # the sign that marks borders, too
+        column = piece_bpe.Encoder(vocabulary).encode_column(pa.array(texts[3:] + more).slice(1))
+        assert column.to_pylist() == [library.encode(t or "", add_eos=True) for t in texts[4:] + more]
     for text, found in zip(texts, encoder.encode(texts)):
         ids = np.frombuffer(found, np.int32)
         assert ids.tolist() == library.encode(text, add_eos=True)
