@@ -27,6 +27,7 @@ from musterline.operators.small_side import (
     join_statistics,
     rows_with_keys,
 )
+from musterline.session import written
 
 # Whole changed rows, not only keys, are sent to every task: fewer of them count as few.
 SMALL_CHANGES = 10_000
@@ -63,8 +64,10 @@ def insert_batch(
 ) -> DataFrame:
     """All rows of ``batch`` added, or DuplicateKeyError and nothing added.
 
-    With a ``contract``, rows that break it are a ContractError.
+    With a ``contract``, rows that break it are a ContractError. The batch is stored first: what is
+    checked is what is added.
     """
+    batch = written(batch)
     if contract is not None:
         assert_contract(batch, contract.using(columns=columns))
     shown = _shown(batch_conflicts(table, batch, columns), columns.id)
@@ -161,8 +164,10 @@ def update_rows(
 ) -> DataFrame:
     """:func:`apply_updates`, or MissingKeyError if a change addresses no row.
 
-    With a ``contract``, changes that break it are a ContractError.
+    With a ``contract``, changes that break it are a ContractError. The changes are stored first: what
+    is checked is what is applied.
     """
+    changes = written(changes)
     if contract is not None:
         assert_contract(changes, contract.using(columns=columns))
     shown = _shown(missing_keys(table, changes, columns), columns.id)
@@ -185,6 +190,7 @@ def apply_deletes(table: DataFrame, keys: DataFrame, columns: RosterColumns = SN
 
 def delete_rows(table: DataFrame, keys: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
     """:func:`apply_deletes`, or MissingKeyError if a key addresses no row."""
+    keys = written(keys.select(columns.id))
     shown = _shown(missing_keys(table, keys, columns), columns.id)
     if shown:
         raise MissingKeyError(f"keys not in the table: {shown}")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from musterline.model import SNAKE, RosterColumns
 from musterline.session import written
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
+ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
 def cumulative_headcount(df: DataFrame, columns: RosterColumns = SNAKE) -> DataFrame:
@@ -43,7 +43,7 @@ def number_rows(
         .withColumn(
             "__position",
             F.monotonically_increasing_id()
-            - F.shiftleft(F.spark_partition_id().cast("bigint"), _ROW_BITS),
+            - F.shiftleft(F.spark_partition_id().cast("bigint"), ROW_BITS),
         )
     )
     placed = written(placed)

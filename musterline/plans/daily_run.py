@@ -10,10 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from musterline.errors import SourceError
 from musterline.model import PASCAL, SNAKE
 from musterline.operators import distributions, growth, metrics, reports
-from musterline.operators.changes import insert_batch, merge_sources, new_rows
+from musterline.operators.changes import checked_offers, insert_batch, merge_sources, new_rows
 from musterline.operators.cleaning import clean_roster
-from musterline.operators.contracts import ENTITY, TABLE, Contract, split, standardise
-from musterline.operators.dedup import keep_first
+from musterline.operators.contracts import (
+    DUPLICATE,
+    ENTITY,
+    REASONS,
+    TABLE,
+    Contract,
+    integer_of,
+    split,
+    standardise,
+)
+from musterline.operators.dedup import keep_first, mark_duplicates
 from musterline.operators.flatten import flatten_users
 from musterline.session import written
 from musterline.sources.payloads import users_or_default
@@ -47,14 +56,23 @@ def publish_roster(
 ) -> RunResult:
     """Check both sources, merge them and publish the result as the new snapshot below ``base``.
 
-    Repeated keys stop the run before anything is published (``on_conflict='fail'``) or lose to
-    the row read first (``'keep_first'``). An empty merge leaves the published roster as it is.
+    Repeated keys stop the run before anything is published (``on_conflict='fail'``), or lose to the row
+    read first: unnamed (``'keep_first'``), or listed among the rejected rows and users with the reason
+    ``duplicate`` or ``present`` (``'quarantine'``). An empty merge leaves the published roster as it is.
     ``on_corrupt`` and ``one_per_line`` say how payloads are read; one per line lets Spark split
     large files.
     """
+    if on_conflict not in ("fail", "keep_first", "quarantine"):
+        raise ValueError(f"on_conflict is 'fail', 'keep_first' or 'quarantine', not {on_conflict!r}")
     # Written once: clean and rejected rows, the key checks and the load all read it.
     checked = written(read_checked_csv(spark, csv_path, contract))
     clean, rejected = split(checked)
+    if on_conflict == "quarantine":
+        marked = clean.withColumn("__typed", integer_of(clean, PASCAL.id))
+        marked = written(mark_duplicates(marked, "__typed", PASCAL.ordinal, "__later").drop("__typed"))
+        clean = marked.where(~F.col("__later")).drop("__later")
+        losers = marked.where("__later").drop("__later").withColumn(REASONS, F.array(F.lit(DUPLICATE)))
+        rejected = rejected.unionByName(losers)
     to_stored_names = dict(zip((*PASCAL.base, PASCAL.ordinal), (*SNAKE.base, SNAKE.ordinal)))
     from_file = standardise(clean, PASCAL, typed_dates=True).withColumnsRenamed(to_stored_names)
     if on_conflict == "keep_first":
@@ -64,13 +82,19 @@ def publish_roster(
     # Written once too: payloads are parsed a single time.
     users = users_or_default(spark, payload_path, on_corrupt, one_per_line, _PLACE)
     accepted, refused = split(written(flatten_users(users)))
-    refused = refused.drop(_PLACE)
     from_users = standardise(accepted).select(*SNAKE.base, _PLACE)
-    if on_conflict == "keep_first":
+    if on_conflict == "quarantine":
+        offers = written(checked_offers(from_file, from_users, _PLACE))
+        taken, others = split(offers)
+        refused = refused.unionByName(accepted.join(others.select(_PLACE, REASONS), _PLACE))
+        merged = merge_sources(from_file, taken)
+    elif on_conflict == "keep_first":
         merged = merge_sources(from_file, new_rows(from_file, from_users, order=_PLACE))
     else:
         merged = insert_batch(from_file, from_users.drop(_PLACE))
 
+    refused = refused.drop(_PLACE)
+
     rows, _ = full_reload(merged, base, contract=TABLE)
     roster = current_snapshot(spark, base)
     if roster is None:

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from musterline.errors import SourceError
 from musterline.model import PASCAL, ROSTER_SCHEMA, SNAKE, RosterColumns
 from musterline.operators.contracts import ENTITY, Contract, annotate
+from musterline.operators.growth import ROW_BITS, number_rows
 from musterline.operators.reports import csv_rows
+from musterline.operators.small_side import SMALL_ROWS, collect_if_small, null_safe_join
 from musterline.session import written
 
 # Files follow the common CSV rules: a quote inside a quoted field is doubled.
@@ -71,10 +73,34 @@ def read_checked_csv(
     """
     raw = read_raw_csv(spark, path, PASCAL, multiline)
     if contract.quarantine_duplicates:
-        raw = written(raw)
+        raw = with_dense_order(written(raw), PASCAL)
     return annotate(raw, contract.using(columns=PASCAL))
 
 
+def with_dense_order(stored: DataFrame, columns: RosterColumns = PASCAL, max_places: int = SMALL_ROWS) -> DataFrame:
+    """``stored`` with the place of each row as one number that ascends like (file, block, row).
+
+    Aggregations over a number hash, over a struct with a path they sort. Places of input are numbered: one
+    row per block of a file, broadcast if they are few. ``stored`` should be written, since it is scanned
+    twice; reading it again must not number its rows anew.
+    """
+    place = F.col(columns.ordinal)
+    places = stored.select(place["file"].alias("__file"), place["block"].alias("__block")).distinct()
+    small = collect_if_small(places, max_places)
+    if small is not None:
+        rows = sorted((tuple(row) for row in small.collect()), key=lambda r: (r[0] is not None, r[0] or "", r[1] or 0))
+        numbered = F.broadcast(
+            stored.sparkSession.createDataFrame([(*row, i) for i, row in enumerate(rows)], "__file string, __block bigint, __place bigint")
+        )
+    else:
+        numbered = number_rows(places, ["__file", "__block"], "__place")
+    with_keys = stored.withColumns({"__file": place["file"], "__block": place["block"], "__row": place["row"]})
+    # The low 33 bits are the row within its task, where the rows of a block are in order.
+    order = F.shiftleft("__place", ROW_BITS) + F.col("__row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    joined = null_safe_join(with_keys, numbered, ["__file", "__block"], "inner")
+    return joined.withColumn(columns.ordinal, order).select(*stored.columns)
+
+
 def file_headcount(spark: SparkSession, path: str) -> DataFrame:
     """One row: data rows without the header; 0 when the path is missing."""
     return read_raw_csv(spark, path).agg(F.count(F.lit(1)).alias("headcount"))

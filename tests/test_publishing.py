@@ -67,6 +67,23 @@ def test_the_later_of_two_publishers_is_told(spark, tmp_path, monkeypatch):
     assert [r["employee_id"] for r in snapshots.current_snapshot(spark, base).collect()] == [1]
 
 
+def test_losers_of_a_conflict_are_listed(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    users = [{"id": 1, "name": "First"}, {"id": 1, "name": "Second"}, {"id": 2, "name": "Held"}, {"id": "x", "name": "Bad"}]
+    (landing / "a.json").write_text(json.dumps(users))
+    csv = tmp_path / "r.csv"
+    line = "{},{},HR,Analyst,50000,2024-01-01,3\n"
+    csv.write_text(",".join(ROSTER_HEADER) + "\n" + line.format(2002, "Ann") + line.format(1, "Bob") + line.format("01", "Late") + line.format("z", "No"))
+    run = publish_roster(spark, str(csv), str(landing), f"{tmp_path}/t", on_conflict="quarantine")
+    assert sorted(r["name"] for r in run.roster.collect()) == ["Ann", "Bob", "First"]
+    assert sorted((r["Name"], *r["reasons"]) for r in run.rejected_rows.collect()) == [("Late", "duplicate"), ("No", "id")]
+    found = {r["name"]: r["reasons"] for r in run.rejected_users.collect()}
+    assert found["Second"] == ["duplicate"] and found["Held"] == ["present"] and "Bad" in found and len(found) == 3
+    with pytest.raises(ValueError):
+        publish_roster(spark, str(csv), str(landing), f"{tmp_path}/t", on_conflict="ignore")
+
+
 def test_of_publishers_at_once_one_wins(spark, tmp_path):
     from concurrent.futures import ThreadPoolExecutor
 

@@ -269,3 +269,30 @@ def test_run_with_repeated_keys(spark, tmp_path):
     result = publish_roster(spark, csv, none, base, on_conflict="keep_first")
     assert result.rows == 6
     assert result.roster.where("employee_id = 1001").first()["name"] == "John Doe"
+
+
+def test_the_order_of_file_rows_is_one_number(spark, tmp_path):
+    from musterline.operators import dedup
+    from musterline.session import written
+    from musterline.sources import roster_files
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    expected = []
+    for name in ("b", "a", "c"):
+        lines = [f"{i % 7},{name}{i},HR,x,50000,2024-01-01,3" for i in range(40)]
+        (folder / f"{name}.csv").write_text(",".join(roster_files.PASCAL.base) + "\n" + "\n".join(lines) + "\n")
+    for name in "abc":
+        expected += [f"{name}{i}" for i in range(40)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")  # several blocks a file
+    try:
+        stored = written(roster_files.read_raw_csv(spark, str(folder)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for most in (1000, 1):  # broadcast places, and joined ones
+        rows = roster_files.with_dense_order(stored, max_places=most)
+        assert rows.schema["Ordinal"].dataType.simpleString() == "bigint"
+        assert [r["Name"] for r in rows.orderBy("Ordinal").collect()] == expected
+    marked = dedup.mark_duplicates(rows, "EmployeeID", "Ordinal", max_rows=0)
+    assert "SortAggregate" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["Name"] for r in marked.where("not is_duplicate").collect()) == [f"a{i}" for i in range(7)]
