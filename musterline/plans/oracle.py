@@ -242,6 +242,7 @@ def _summary(source: str) -> str:
 
 ORACLE["dept_summary"] = _with(_ROSTER, query=_summary("roster"))
 ORACLE["stream_dept_summary"] = ORACLE["dept_summary"]
+ORACLE["json_array_source"] = ORACLE["json_source"]
 ORACLE["json_default_source"] = _with(
     _ROSTER,
     """

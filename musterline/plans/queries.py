@@ -26,7 +26,7 @@ from musterline.operators import (
 from musterline.operators.quantiles import approximate_quantiles, exact_quantiles, rank_distances
 from musterline.plans import views
 from musterline.session import work_folder, written
-from musterline.sources import file_table, payloads, roster_files, snapshots
+from musterline.sources import file_table, json_arrays, payloads, roster_files, snapshots
 from musterline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,21 @@ def json_source(spark: SparkSession, folder: str) -> DataFrame:
     return landed.groupBy("id", F.col("company.bs").alias("role")).agg(F.count(F.lit(1)).alias("users"))
 
 
+@register
+def json_array_source(spark: SparkSession, folder: str) -> DataFrame:
+    """The same users as one array a file, a file for every 5000 events, cut by byte ranges."""
+    path = work_folder(spark)
+    user = F.struct("id", "name", "company")
+    arrays = (
+        views.users(spark, folder)
+        .groupBy(F.floor(F.col("event_id") / 5000).alias("part"))
+        .agg(F.to_json(F.collect_list(user)).alias("value"))
+    )
+    arrays.write.partitionBy("part").text(path)
+    landed = json_arrays.read_large_arrays(spark, path)
+    return landed.groupBy("id", F.col("company.bs").alias("role")).agg(F.count(F.lit(1)).alias("users"))
+
+
 @register
 def json_default_source(spark: SparkSession, folder: str) -> DataFrame:
     fallback = payloads.users_or_default(spark, f"{folder}/no_such_landing")
