@@ -32,11 +32,21 @@ from musterline.session import written
 MOST_SMALL = 40
 #: A shingle of so many documents counts as frequent: it comes last when the lists to scan are chosen.
 FREQUENT = 6
-#: Documents are counted by slots that shingles are hashed to, so counts take the same room at every size.
-#: Shingles of one slot count together: that may change the order, not the result.
-SLOTS, CHUNK = 1 << 22, 1 << 16
-#: Counts above this are not told apart.
-MOST_COUNTED = (1 << 16) - 1
+#: At most so many frequent shingles (16 bytes each) are sent to the tasks; the bound on FREQUENT is
+#: raised until they fit. It only decides an order: the result does not depend on it.
+MOST_FREQUENT = 1 << 21
+#: Tasks that count shingles hold about so many of them.
+COUNTED_PER_TASK = 4_000_000
+
+
+def _counted(shingles: np.ndarray, tasks: int) -> np.ndarray:
+    """Under which number a shingle is counted: its bucket and 32 bits.
+
+    Two of a bucket that share these bits count together, which may change the order, not the result, and halves
+    the shuffle.
+    """
+    bucket = (shingles >> np.uint64(32)) % np.uint64(tasks)
+    return bucket << np.uint64(32) | (shingles & np.uint64(0xFFFFFFFF))
 
 
 def least_overlap(s: int, t: int, num: int, den: int) -> int:
@@ -63,69 +73,89 @@ def _sets(batches, text: str, k: int):
         yield part, list(shingle_sets(words, bounds, k))
 
 
-def _slots(shingles: np.ndarray) -> np.ndarray:
-    return (shingles & np.uint64(SLOTS - 1)).astype(np.int64)
-
-
-def shingle_counts(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """How many documents hold a shingle of each slot, up to MOST_COUNTED: all documents are counted.
+def frequent_shingles(docs: DataFrame, text: str, k: int, tasks: int) -> np.ndarray:
+    """Shingles of at least FREQUENT documents, the less frequent first: all documents are counted.
 
-    Every map task counts into an array of fixed size and sends it once, in chunks of one byte a slot, which
-    are summed as they arrive. The arrays and the result are bounded, whatever the number of documents.
+    Each map task counts within parts of the input and packs the counts by hash into one binary
+    row per bucket, so a shingle of all documents arrives once per part, and buckets are even.
     """
-    chunks = SLOTS // CHUNK
 
-    def count(batches):
-        counts = np.zeros(SLOTS, np.uint32)
+    def packed(batches):
+        def flush(held):
+            tokens, counts = np.unique(_counted(np.concatenate(held), tasks), return_counts=True)
+            cuts = np.searchsorted(tokens, np.arange(tasks + 1, dtype=np.uint64) << np.uint64(32))
+            low = tokens.astype(np.uint32)
+            single = [low[a:b][counts[a:b] == 1] for a, b in zip(cuts, cuts[1:])]
+            many = [low[a:b][counts[a:b] > 1] for a, b in zip(cuts, cuts[1:])]
+            number = [counts[a:b][counts[a:b] > 1].astype(np.uint32) for a, b in zip(cuts, cuts[1:])]
+            return pa.record_batch(
+                [
+                    pa.array(np.arange(tasks, dtype=np.int32)),
+                    *[pa.array([x.tobytes() for x in xs], pa.binary()) for xs in (single, many, number)],
+                ],
+                names=["bucket", "single", "many", "number"],
+            )
+
         held, size = [], 0
         for _, sets in _sets(batches, text, k):
             held += sets
             size += sum(map(len, sets))
-            if size > 500_000:
-                np.add.at(counts, _slots(np.concatenate(held)), 1)
+            if size > 1_500_000:
+                yield flush(held)
                 held, size = [], 0
         if size:
-            np.add.at(counts, _slots(np.concatenate(held)), 1)
-        if counts.any():
-            short = np.minimum(counts, 255).astype(np.uint8).reshape(chunks, CHUNK)
-            yield pa.record_batch([pa.array(np.arange(chunks, dtype=np.int32)), pa.array([c.tobytes() for c in short], pa.binary())], names=["chunk", "counts"])
+            yield flush(held)
 
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
+    def counted(batches):
         for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.frombuffer(counts.as_buffer(), np.uint8)
-                sums[chunk] = np.minimum(sums.get(chunk, np.uint32(0)) + found.astype(np.uint32), np.uint32(MOST_COUNTED))
-        packed = [c.astype(np.uint16).tobytes() for c in sums.values()]
-        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
-
-    schema = "chunk int, counts binary"
-    sums = docs.select(text).mapInArrow(count, schema).repartition(chunks, "chunk").mapInArrow(add, schema)
-    total = np.zeros((chunks, CHUNK), np.uint16)
-    for row in sums.toArrow().to_pylist():  # SLOTS numbers of two bytes
-        total[row["chunk"]] = np.frombuffer(row["counts"], np.uint16)
-    return total.reshape(-1)
-
-
-def document_sets(docs: DataFrame, key: str, text: str, k: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
+            single, many, number = ([np.frombuffer(x, np.uint32) for x in batch.column(name).to_pylist()] for name in ("single", "many", "number"))
+            ones = np.ones(sum(map(len, single)), np.uint32)
+            yield np.concatenate([*single, *many]), np.concatenate([ones, *number])
+
+    def per_bucket(key, table):
+        got = list(counted(table.to_batches()))
+        tokens = np.concatenate([t for t, _ in got]).astype(np.uint64) | np.uint64(key[0].as_py() << 32)
+        counts = np.concatenate([c for _, c in got])
+        if not len(tokens):
+            return pa.table({"token": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
+        order = np.argsort(tokens)
+        tokens, counts = tokens[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+        total = np.add.reduceat(counts, first)
+        often = total >= FREQUENT
+        return pa.table({"token": pa.array(tokens[first][often].view(np.int64)), "df": pa.array(total[often])})
+
+    packs = docs.select(text).mapInArrow(packed, "bucket int, single binary, many binary, number binary")
+    often = written(packs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(per_bucket, "token long, df long"))
+    bound = FREQUENT
+    while often.where(F.col("df") >= bound).count() > MOST_FREQUENT:
+        bound *= 2
+    return often.where(F.col("df") >= bound).orderBy("df", "token").select("token").toArrow().column("token").to_numpy().view(np.uint64)
+
+
+def document_sets(docs: DataFrame, key: str, text: str, k: int, num: int, den: int, frequent: np.ndarray, tasks: int) -> DataFrame:
     """(key, n, d1, d2, rare, prefix, whole): set size, digest, number of shingles that are not
     frequent, the shingles whose lists are scanned, and all shingles of a set that may be small."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.where(counts < FREQUENT, np.uint16(0), counts))
+    spark = docs.sparkSession
+    order = np.argsort(frequent)
+    sent = spark.sparkContext.broadcast((frequent[order], order))
 
     def of(batches):
+        tokens, ranks = sent.value
         for part, sets in _sets(batches, text, k):
             n = np.array([len(s) for s in sets], np.int32)
             rare, prefixes = np.zeros(len(sets), np.int32), []
             digests = np.zeros((2, len(sets)), np.uint64)
             for i, s in enumerate(sets):
                 digests[:, i] = _digest(s)
-                count = sent.value[_slots(s)]
-                rare[i] = len(s) - np.count_nonzero(count)
+                short = _counted(s, tasks)
+                at = np.minimum(np.searchsorted(tokens, short), max(len(tokens) - 1, 0))
+                often = tokens[at] == short if len(tokens) else np.zeros(len(s), bool)
+                rare[i] = len(s) - int(often.sum())
                 size = prefix_length(len(s), num, den)
-                chosen = s[count == 0][:size]
+                chosen = s[~often][:size]
                 if len(chosen) < size:
-                    often = count > 0
-                    last = s[often][np.argsort(count[often], kind="stable")]
+                    last = s[often][np.lexsort((s[often], ranks[at[often]]))]
                     chosen = np.concatenate([chosen, last[: size - len(chosen)]])
                 prefixes.append(chosen)
             whole = [s if len(s) <= MOST_SMALL else s[:0] for s in sets]
@@ -242,8 +272,12 @@ def ngram_jaccard_components(
     texts should be equal (else the set of the greatest digest counts). A null key gets a null
     component. Other columns are ignored.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias(key), F.col(text).cast("string").alias(text))
-    sets = written(document_sets(docs, key, text, k, num, den, shingle_counts(docs, text, k)))
+    size = docs.select(F.sum(F.length(text))).first()[0] or 0
+    tasks = int(max(8, 1 + size // 6 // COUNTED_PER_TASK))
+    frequent = frequent_shingles(docs, text, k, tasks)
+    sets = written(document_sets(docs, key, text, k, num, den, frequent, tasks))
 
     distinct = sets.where("key is not null and n > 0")
     classes = distinct.groupBy("n", "d1", "d2").agg(F.min("key").alias("rep"))
