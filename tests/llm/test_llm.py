@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -146,6 +148,72 @@ def test_decontamination_finds_cut_and_run_edited_passages(spark):
     assert got == expected and len(expected) > 40
 
 
+def best_windows(docs, bench):
+    """The largest similarity over all windows, by the definition."""
+    def grams(w, g):
+        return Counter(" ".join(w[i : i + g]) for i in range(len(w) - g + 1)) if len(w) >= g else Counter([" ".join(w)])
+
+    def cut(t):
+        return [w for w in re.split(r"[^\w]|_", t.lower()) if w]
+
+    items = {k: cut(t) for k, t in bench}
+    size = {k: min(5, len(w)) for k, w in items.items()}
+    spread = Counter(g for k, w in items.items() for g in grams(w, size[k]))
+    weight = {g: 1 + math.log(len(items) / n) for g, n in spread.items()}
+    found = {}
+    for d, text in docs:
+        w = cut(text)
+        for k, iw in items.items():
+            wanted, n = grams(iw, size[k]), len(iw)
+            whole = sum(weight[g] * c for g, c in wanted.items())
+            for start in range(max(1, len(w) - n + 1)):
+                held = grams(w[start : start + n], size[k])
+                share = round(sum(weight[g] * min(c, held[g]) for g, c in wanted.items() if g in held) / whole, 9)
+                if share >= 0.8 and share > found.get((d, k), 0):
+                    found[d, k] = share
+    return found
+
+
+def test_decontamination_tries_all_windows(spark):
+    """Items that share an opening and a closing and repeat shingles; words inserted, moved and left out."""
+    rng = random.Random(11)
+    word = lambda n: [f"w{rng.randrange(n)}" for _ in range(n)]
+    opening, closing = word(5), word(5)
+    items = [[*opening, *word(rng.randrange(8, 30)), *closing] for _ in range(40)]
+    items += [["again"] * 9 + word(6), ["x", "y"] * 8, word(3), word(1)]
+    docs = []
+    for item in items:
+        for inserted in (0, 1, 2, 3):
+            text = list(item)
+            for _ in range(inserted):
+                text.insert(rng.choice([5, len(text) - 5, rng.randrange(len(text))]) if len(text) > 10 else 0, "extra")
+            docs.append([*word(rng.randrange(12)), *text, *word(rng.randrange(12))])
+        docs.append([*item[2:], *word(4)])
+        docs.append(item[: -2 or None])
+    docs.append(opening * 400)
+    docs = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    bench = [(i, " ".join(t)) for i, t in enumerate(items)]
+    df = spark.createDataFrame([(*d, 1) for d in docs + docs[:9]], "doc_id long, text string, n int")
+    found = decontamination.contaminated(df, spark.createDataFrame([(*b, 1.0) for b in bench], "item_id long, text string, weight double"))
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found.collect()}
+    expected = best_windows(docs, bench)
+    assert got.keys() == expected.keys() and all(abs(got[k] - expected[k]) < 2e-9 for k in got)
+    assert sum(0.8 <= s < 0.9 for s in expected.values()) > 10
+
+
+def test_fingerprints_within_the_radius_are_all_found(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    items = [rng.getrandbits(63) for _ in range(20)]
+    near = [(i * 100 + k, items[i] ^ sum(1 << b for b in rng.sample(range(63), k)), 7) for i in range(20) for k in range(0, 30)]
+    left = spark.createDataFrame(near, "w long, print long, n int")
+    right = spark.createDataFrame([(i, p, 7) for i, p in enumerate(items)], "item long, item_print long, n int")
+    found = {(r["w"], r["item"]) for r in decontamination.within_radius(left, right).collect()}
+    assert found == {(w, i) for w, p, _ in near for i, q in enumerate(items) if (p ^ q).bit_count() <= decontamination.RADIUS}
+    assert decontamination.within_radius(left.withColumn("n", F.lit(8)), right).count() == 0
+
+
 def test_decontamination_runs_no_python(spark, folder):
     df = decontamination.op2_benchmark_decontamination(spark, folder)
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
