@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SHARD, BLOCK = 4096, 2048
 TREES, BITS = 32, 32
+#: Parts of the shards for each core.
+PARTS_PER_CORE = 4
 #: Candidates per query and shard, as a share of the shard. Isotropic vectors need a large one:
 #: signs of projections say little about neighbours at a cosine of 0.4.
 CANDIDATES = 0.5
@@ -30,8 +32,8 @@ def _usable(column: pa.Array) -> list[np.ndarray | None]:
         x = None
         if v.is_valid and len(v.values) and not v.values.null_count:
             x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            if not (np.isfinite(x).all() and x.any()):
-                x = None
+            # A power of two scales without rounding: squares of very large or small components stay finite.
+            x = np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])) if np.isfinite(x).all() and x.any() else None
         out.append(x)
     return out
 
@@ -110,24 +112,35 @@ class Forest:
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each query, ties to smaller keys.
 
+    Shards are dealt out to PARTS_PER_CORE parts per core, and every part gets all query blocks: a shard's forest
+    is built once, where the shard is. Repeated rows are candidates once.
+
     Rows and queries with a null key, and vectors that are null, zero, empty or not finite, take no part;
     vectors of another dimension are no candidates. The row of a query's own key is none either.
     """
+    count = max(1, -(-rows.count() // SHARD))
+    parts = min(count, PARTS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
     blocks = _packed(queries, key, vector, BLOCK).withColumnsRenamed({"ids": "query_ids", "data": "query_data"})
-    # One block row per (block, shard) pair; the pairing key is a number per block.
-    shards = _packed(rows.repartition(max(1, -(-rows.count() // SHARD))), key, vector, SHARD)
+    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(parts, "dim", "part")
+    shards = _packed(rows.repartition(count), key, vector, SHARD)
+    dealt = F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part")
+    shards = shards.select("*", dealt).repartition(parts, "dim", "part")
 
     def search(batches):
+        known, forest = None, None
         for batch in batches:
-            for row in batch.to_pylist():
+            for start in range(batch.num_rows):  # a row holds a whole shard and a whole block
+                row = batch.slice(start, 1).to_pylist()[0]
                 ids = np.frombuffer(row["ids"], np.int64)
                 x = np.frombuffer(row["data"]).reshape(len(ids), row["dim"])
+                if (row["dim"], row["ids"]) != known:
+                    known, forest = (row["dim"], row["ids"]), Forest(x)
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
                 q = np.frombuffer(row["query_data"]).reshape(len(query_ids), row["dim"])
                 length, q_length = np.sqrt((x * x).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
                 wanted = max(4 * k, int(CANDIDATES * len(ids)))
                 out = [[], [], []]
-                for i, found in enumerate(Forest(x).candidates(q, wanted)):
+                for i, found in enumerate(forest.candidates(q, wanted)):
                     found = found[ids[found] != query_ids[i]]
                     # Sums of products row by row: equal vectors get equal scores.
                     score = (x[found] * q[i]).sum(axis=1) / (length[found] * q_length[i])
@@ -140,7 +153,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id"
                     out[2].append(score[best])
                 yield pa.record_batch([pa.array(np.concatenate(c)) for c in out], names=["query_id", "vec_id", "score"])
 
-    paired = shards.join(blocks, "dim")
+    paired = shards.join(blocks, ["dim", "part"])
     found = paired.mapInArrow(search, "query_id long, vec_id long, score double").distinct()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
