@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from musterline.llm.text_hashing import slices
 from musterline.operators.small_side import collect_if_small
 from musterline.session import work_folder, written
 
@@ -23,6 +24,8 @@ from musterline.session import work_folder, written
 REVISIT_FROM = 1000
 #: Records at most so far apart are read in one request, of at most so many bytes.
 GAP, REQUEST = 1 << 16, 8 << 20
+#: Bytes of archives that a reading task takes.
+PART = 8 << 20
 _DATE = "2000-01-01T00:00:00Z"
 _INDEX = "file string, offset long, length long, key long, url string, digest string, record_type string"
 
@@ -86,7 +89,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         system.create_dir(path, recursive=True)
         name = f"{uuid.uuid4().hex}.warc.gz"
         out, at = None, 0
-        for batch in batches:
+        for batch in slices(batches, "payload"):
             index = []
             for row in batch.to_pylist():
                 data = record_bytes(row["key"], row["url"], row["payload"], row["digest"], row["refers_to"])
@@ -108,7 +111,12 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
 
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
-    """(file, offset, fields, payload) of the records that ``index`` selects."""
+    """(file, offset, fields, payload) of the records that ``index`` selects.
+
+    Records are dealt out by place in parts of about PART bytes, whatever the number of archives. Repeated index
+    rows give repeated records; an index without rows gives none.
+    """
+    size = index.agg(F.sum("length")).first()[0] or 0
 
     def read(batches):
         system, path = _files(folder)
@@ -154,7 +162,8 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
 
     # Neighbours in a file come to one task, in order of their place.
     places = index.select("file", "offset", "length")
-    places = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    parts = int(size) // PART + 1
+    places = places.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
     return places.mapInArrow(read, "file string, offset long, fields map<string,string>, payload binary")
 
 
