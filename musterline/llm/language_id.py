@@ -22,6 +22,7 @@ DIMENSIONS = 4096
 CENTROIDS = 4
 #: Centroids are fitted on so many texts per language, those with the smallest hash of their key.
 SAMPLE_PER_LANGUAGE = 1_000
+LEADING_BITS = 16
 #: Texts are compared with so many centroids at a time.
 BLOCK = 1_024
 #: Share of a language's sample that lies farther from its centroids than the limit of rejection.
@@ -101,7 +102,15 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key:
     from pyspark.sql import Window
 
     rank = F.row_number().over(Window.partitionBy("__lang").orderBy(F.xxhash64("__key"), "__key"))
-    keys = rows.select("__key", "__lang").withColumn("__rank", rank)
+    # Before that, the hashes beyond those that can be among the first of a language are left out, by a count of
+    # their leading bits: a rank sees little more than the rows it keeps, however many there are.
+    lead = F.shiftright(F.xxhash64("__key"), 64 - LEADING_BITS)
+    leads = rows.groupBy("__lang", lead.alias("__lead")).agg(F.count(F.lit(1)).alias("n"))
+    until = F.sum("n").over(Window.partitionBy("__lang").orderBy("__lead"))
+    before = leads.withColumn("before", until - F.col("n")).where(F.col("before") < SAMPLE_PER_LANGUAGE)
+    last = written(before.groupBy("__lang").agg(F.max("__lead").alias("__last")))
+    keys = rows.select("__key", "__lang").join(sized(last), "__lang").where(lead <= F.col("__last")).drop("__last")
+    keys = keys.withColumn("__rank", rank)
     keys = written(keys.where(F.col("__rank") <= SAMPLE_PER_LANGUAGE).select("__key", "__lang").distinct())
     sample = rows.join(sized(keys), ["__key", "__lang"])
 
