@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from musterline.llm.text_hashing import ALNUM, list_array, rolling, slices, text_bytes, with_fields
-from musterline.operators.small_side import rows_with_keys
+from musterline.operators.small_side import join_statistics, rows_with_keys
+from musterline.session import written
 
 K = 3
 #: Diagonals of one template at most so far apart make one span, and so do hits so far apart on them.
@@ -72,23 +73,26 @@ def template_places(spark, k: int = K) -> DataFrame:
 
 
 def document_grams(docs: DataFrame, k: int = K) -> DataFrame:
-    """``docs`` (key, text) as key, n_words and the hashes of all rolling k-grams, in order."""
+    """``docs`` (text and others) as n_words and the hashes of all rolling k-grams, in order, beside the others."""
+    kept = docs.drop("text")
+    names = kept.columns
 
     def grams(batches):
         for part in slices(batches):
             words, bounds = ALNUM.hashes(*text_bytes(part.column("text")))
             found = rolling(words, k)
             lists = [found[a : max(a, b - k + 1)] for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.record_batch([part.column("key"), pa.array(np.diff(bounds)), list_array(lists)], names=["key", "n_words", "grams"])
+            columns = [*(part.column(c) for c in names), pa.array(np.diff(bounds)), list_array(lists)]
+            yield pa.record_batch(columns, names=[*names, "n_words", "grams"])
 
-    return docs.mapInArrow(grams, with_fields(docs.select("key").schema, "n_words long, grams array<long>"))
+    return docs.mapInArrow(grams, with_fields(kept.schema, "n_words long, grams array<long>"))
 
 
 def voted_spans(grams: DataFrame, places: DataFrame, k: int = K) -> DataFrame:
     """(key, template, start, end): spans of document words that gathered votes, ends exclusive."""
     hits = grams.select("key", F.posexplode("grams").alias("at", "gram")).join(F.broadcast(places), "gram")
     diagonals = hits.groupBy("key", "template", (F.col("at") - F.col("place")).alias("diagonal"), F.floor(F.col("at") / 4096).alias("part")).agg(
-        F.sort_array(F.collect_list("at")).alias("ats")
+        F.sort_array(F.collect_set("at")).alias("ats")  # copies of a text vote once
     )
     # Runs of votes on one diagonal; a part holds at most 4096 of them.
     single = diagonals.select("key", "template", "diagonal", F.explode("ats").alias("at"))
@@ -113,15 +117,18 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     """Per row of ``docs``: key, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
     ``spans`` lists every verified (label, start, end, exact, covered); score is the largest covered share,
-    0 without a span. A null or empty text has no words. Rows of one key should have one text: their
-    spans are put together. Rows without a key are scanned by no join and find nothing.
+    0 without a span. A null or empty text has no words. What is found depends on a row's text alone: votes
+    travel by 128 bits of the text's hash, so rows without a key, or with a key that others have too, find what
+    is theirs, and copies of a text are scanned once after the vote.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    whole = F.col(text).cast("string")
+    identity = F.struct(F.xxhash64(F.lit(1), whole).alias("a"), F.xxhash64(F.lit(2), whole).alias("b"))
+    plain = docs.select(F.col(key).alias("__doc"), identity.alias("key"), whole.alias("text"))
     grams = document_grams(plain)
-    spans = voted_spans(grams, template_places(spark))
+    spans = voted_spans(document_grams(plain.select("key", "text")), template_places(spark))
     per_key = spans.groupBy("key").agg(F.collect_set(F.struct("template", "start", "end")).alias("found"))
-    texts = rows_with_keys(plain, per_key, "key").distinct().join(per_key, "key")
+    texts = rows_with_keys(plain.select("key", "text"), per_key, "key").dropDuplicates(["key"]).join(per_key, "key")
     known = [(words_of(t), label, exact) for t, label, exact in templates()]
 
     def verify(batches):
@@ -146,7 +153,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     span_type = "spans array<struct<label:string,start:bigint,end:bigint,exact:boolean,covered:double>>"
     verified = texts.mapInArrow(verify, with_fields(plain.select("key").schema, span_type))
     verified = verified.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    all_rows = grams.select("key", "n_words").join(verified, "key", "left")
+    # Few texts have spans; beyond a checked size, copies of one meet its spans where adaptive execution splits them.
+    all_rows = join_statistics(grams.select("__doc", "key", "n_words"), written(verified), "key")
     spans = F.coalesce("spans", F.array().cast(span_type.split(" ", 1)[1]))
     all_rows = all_rows.withColumn("spans", F.array_distinct(spans))
     base = F.filter("spans", lambda s: s["exact"])
@@ -156,7 +164,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
     starts = F.transform(base, lambda s: s["start"])
     return all_rows.select(
-        F.col("key").alias(key),
+        F.col("__doc").alias(key),
         "n_words",
         F.size(F.array_distinct(F.transform(base, lambda s: F.struct(s["label"], s["start"])))).cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),

@@ -260,6 +260,22 @@ def test_forest_recall_ties_and_unusable_vectors(spark):
     assert ann_prefix_forest.nearest(df.limit(0), queries.limit(0)).count() == 0
 
 
+def test_forest_of_extreme_vectors_ties_and_copies(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((60, 8))
+    scale = [1.0, 1e200, 1e-200, 1e-300][:4]
+    rows = [(i, (v * scale[i % 4]).tolist()) for i, v in enumerate(x)]
+    rows += [(100 + i, rows[7][1]) for i in range(9)] + [(3, rows[3][1])]  # more equal neighbours than ranks; a repeated row
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann_prefix_forest.nearest(df, df.where("vec_id in (3, 7, 100)")).collect()
+    assert all(np.isfinite(r.score) for r in got) and len(got) == 15
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == 100] == [7, 101, 102, 103, 104]
+    unit = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
+    best = sorted((-round(float(v @ unit[3]), 9), i) for i, v in unit.items() if i != 3)[:5]
+    assert [i for _, i in best] == [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == 3]
+
+
 def test_license_base_places_and_labels(spark):
     texts = ["Released under the MIT License. under the mit license", "Apache License, Version 2.0 cc-by-nc", *ODD, "licensed under the GNU General Public License, version 3"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -277,6 +293,13 @@ def test_license_base_places_and_labels(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licenses_of_rows_without_a_key_of_their_own(spark):
+    rows = [(None, "under the mit license", 1), (5, "under the MIT license now", 2), (5, "Apache License version 2", 3), (5, "none", 4), (None, None, 5)]
+    df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, n_words int")
+    got = sorted((r.n_words, r.n_base, r.first_word, r.base_labels, r.doc_id) for r in license_scan.scan_licenses(df).collect() if r.n_words)
+    assert got == [(1, 0, None, "", 5), (4, 1, 0, "apache-2", 5), (4, 1, 0, "mit", None), (4, 1, 0, "mit", None), (5, 1, 0, "mit", 5)]
+
+
 def test_pii_base_spans_stay_and_texts_are_redacted(spark):
     text = "a.b@c.de and 4111 1111 1111 1111 or 10.0.0.255 +49 (30) 1234567 not 999.1.1.1 nor 4111111111111112"
     assert [text[a:b] for _, a, b in pii.base_spans(text)] == ["a.b@c.de", "10.0.0.255", "4111 1111 1111 1111", "+49 (30) 1234567"]
@@ -460,6 +483,18 @@ def test_warc_round_trip_and_revisits(spark):
     assert warc.archive_and_read(spark, df.limit(0)).count() == 0
 
 
+def test_a_part_of_an_index_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "PART", 4000)
+    pages = spark.range(60).selectExpr("id as page_id", "concat('u', id) as url", "repeat(sha2(cast(id as string), 512), 9) as html")
+    folder = f"{tmp_path}/archives"
+    index = warc.write_archives(warc.plan_records(pages.repartition(3)), folder)
+    chosen = index.where("key % 7 = 2")
+    read = warc.read_archives(chosen, folder)
+    assert {r["fields"]["WARC-Target-URI"] for r in read.collect()} == {f"u{i}" for i in range(60) if i % 7 == 2}
+    assert warc.read_archives(index, folder).rdd.getNumPartitions() > 3
+    assert warc.read_archives(index.limit(0), folder).count() == 0
+
+
 def test_pipeline_stages_take_effect(spark, folder):
     import corpus_pipeline
 
