@@ -20,8 +20,8 @@ from musterline.operators.small_side import join_statistics, rows_with_keys
 from musterline.session import written
 
 K = 3
-#: Diagonals of one template at most so far apart make one span, and so do hits so far apart on them.
-DIAGONAL_GAP = 2
+#: Diagonals of one template at most half of this apart make one span, and so do hits at most WORD_GAP words apart.
+BAND = 32
 WORD_GAP = 12
 #: Share of a template's words that a span must hold in order, unless the template is exact.
 COVERED = 0.9
@@ -54,13 +54,100 @@ TEMPLATES = (
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 )
 
+# Whole license bodies, as published, and their labels.
+BODIES = (
+    (
+        "mit",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+        Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+        COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    (
+        "isc",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+        ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+        THIS SOFTWARE.""",
+    ),
+    (
+        "bsd",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution.
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+        WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+        THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ),
+    (
+        "zlib",
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+        and redistribute it freely, subject to the following restrictions:
+        1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If
+        you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not
+        required.
+        2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+        3. This notice may not be removed or altered from any source distribution.""",
+    ),
+    (
+        "apache-2",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an
+        "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
+        language governing permissions and limitations under the License.""",
+    ),
+    (
+        "gpl-3",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        You should have received a copy of the GNU General Public License along with this program. If not, see
+        <https://www.gnu.org/licenses/>.""",
+    ),
+    (
+        "unlicense",
+        """This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+        as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+        In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+        interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+        detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+        all present and future rights to this software under copyright law.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+        OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+)
+
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.translate(_LOWER)) if text else []
 
 
 def templates() -> list[tuple[str, str, bool]]:
-    return [(t, label, True) for t, label in PHRASES] + [(t, label, False) for t, label in TEMPLATES]
+    return [(t, label, True) for t, label in PHRASES] + [(t, label, False) for t, label in TEMPLATES] + [(t, label, False) for label, t in BODIES]
 
 
 def template_places(spark, k: int = K) -> DataFrame:
@@ -94,13 +181,16 @@ def voted_spans(grams: DataFrame, places: DataFrame, k: int = K) -> DataFrame:
     diagonals = hits.groupBy("key", "template", (F.col("at") - F.col("place")).alias("diagonal"), F.floor(F.col("at") / 4096).alias("part")).agg(
         F.sort_array(F.collect_set("at")).alias("ats")  # copies of a text vote once
     )
-    # Runs of votes on one diagonal; a part holds at most 4096 of them.
-    single = diagonals.select("key", "template", "diagonal", F.explode("ats").alias("at"))
-    order = Window.partitionBy("key", "template").orderBy("at", "diagonal")
-    far = (F.col("at") - F.lag("at").over(order) > WORD_GAP) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > DIAGONAL_GAP)
+    # Neighbouring diagonals form bands; each diagonal is in two of them, so any two at most BAND / 2 apart share one,
+    # and votes of far diagonals (phrases that a template repeats) don't cut a span. A part holds at most 4096 votes.
+    bands = F.array(*[F.struct(F.lit(i).alias("set"), F.floor((F.col("diagonal") + i * BAND // 2) / BAND).alias("number")) for i in (0, 1)])
+    single = diagonals.select("key", "template", "ats", F.explode(bands).alias("band")).select("key", "template", "band", F.explode("ats").alias("at"))
+    order = Window.partitionBy("key", "template", "band").orderBy("at")
+    far = F.col("at") - F.lag("at").over(order) > WORD_GAP
     numbered = single.withColumn("new", F.coalesce(far, F.lit(True)).cast("int"))
     numbered = numbered.withColumn("span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("key", "template", "span").agg(F.min("at").alias("start"), (F.max("at") + k).alias("end")).drop("span")
+    spans = numbered.groupBy("key", "template", "band", "span").agg(F.min("at").alias("start"), (F.max("at") + k).alias("end"))
+    return spans.select("key", "template", "start", "end")
 
 
 def _covered(words: list[str], template: list[str]) -> float:

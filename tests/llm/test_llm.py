@@ -293,6 +293,42 @@ def test_license_base_places_and_labels(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_edited_license_bodies_align(spark):
+    """Bodies with words replaced, inserted and left out, against the best alignment of the whole text."""
+    rng = random.Random(12)
+    rows, expected = [], {}
+    for label, body in license_scan.BODIES:
+        w = license_scan.words_of(body)
+        for share in (0.0, 0.02, 0.04, 0.3, 0.5):
+            text = list(w)
+            for _ in range(int(share * len(w))):
+                at = rng.randrange(len(text))
+                kind = rng.randrange(3)
+                text[at : at + (kind > 0)] = ["edited"] * (kind < 2)
+            doc = [*(f"n{rng.randrange(999)}" for _ in range(50)), *text, *(f"n{rng.randrange(999)}" for _ in range(50))]
+            covered = longest_common(doc, w) / len(w)
+            if covered >= 0.92 or covered < 0.85:  # near the bound, the best span may be cut differently
+                expected[len(rows)] = (label, covered >= 0.92, round(covered, 2))
+                rows.append((len(rows), " ".join(doc)))
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, whole, covered) in expected.items():
+        long = [s for s in got[i].spans if s["label"] == label and s["end"] - s["start"] > 45]
+        assert bool(long) == whole, (label, covered, got[i].spans)
+        if whole:
+            assert label in got[i].labels.split(",") and abs(long[0]["covered"] - covered) < 0.03
+    assert sum(whole for _, whole, _ in expected.values()) >= 15 and len(expected) - 15 >= 10
+
+
 def test_licenses_of_rows_without_a_key_of_their_own(spark):
     rows = [(None, "under the mit license", 1), (5, "under the MIT license now", 2), (5, "Apache License version 2", 3), (5, "none", 4), (None, None, 5)]
     df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, n_words int")
