@@ -19,9 +19,14 @@ def fold_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def folded_pattern(query: str) -> str:
+    """The query as it is compared with folded names."""
+    return query.translate(_FOLD)
+
+
 def name_contains(name: Column, query: str) -> Column:
     """Case-insensitive containment; ``%`` and ``_`` in the query are wildcards, ``\\`` is not."""
-    pattern = query.translate(_FOLD).replace("\\", "\\\\")
+    pattern = folded_pattern(query).replace("\\", "\\\\")
     return fold_ascii(name).like(f"%{pattern}%")
 
 

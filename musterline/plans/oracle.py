@@ -438,6 +438,15 @@ ORACLE["delete_files"] = ORACLE["delete_rows"]
 ORACLE["files_kept_by_update"] = """
 SELECT count(*) AS rows, least(count(*), 10) AS renamed, 1 AS files_replaced FROM orders
 """
+ORACLE["search_names_indexed"] = _with(
+    _ROSTER,
+    """
+renamed AS (
+  SELECT * REPLACE (CASE WHEN row_number() OVER (ORDER BY employee_id) <= 10 THEN 'Cust_mer#x9' ELSE name END AS name)
+  FROM roster
+)""",
+    query=f"SELECT {_BASE} FROM renamed WHERE name ILIKE '%cust_MER#%9%'",
+)
 ORACLE["create_if_missing"] = _with(_event_rows("event_id + 1"), query=f"SELECT {_BASE} FROM changed")
 _LEGAL = "salary BETWEEN 15000 AND 300000 AND performance_score BETWEEN 1 AND 5"
 ORACLE["recheck_on_read"] = _with(_ROSTER, query=f"SELECT {_BASE} FROM roster WHERE {_LEGAL}")

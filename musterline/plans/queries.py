@@ -26,7 +26,7 @@ from musterline.operators import (
 from musterline.operators.quantiles import approximate_quantiles, exact_quantiles, rank_distances
 from musterline.plans import views
 from musterline.session import work_folder, written
-from musterline.sources import file_table, json_arrays, payloads, roster_files, snapshots
+from musterline.sources import file_table, json_arrays, name_index, payloads, roster_files, snapshots
 from musterline.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,6 +308,17 @@ def lookup_in_files(spark: SparkSession, folder: str) -> DataFrame:
     return file_table.find(spark, _file_table(spark, folder), keys)
 
 
+@register
+def search_names_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The search for a name with a wildcard, after a change that replaced one of the indexed files."""
+    table = _file_table(spark, folder)
+    name_index.index_names(spark, table)
+    lowest = written(table.read(spark).orderBy(SNAKE.id).limit(10).withColumn(SNAKE.name, F.lit("Cust_mer#x9")))
+    table = file_table.update(spark, table, lowest)
+    name_index.index_names(spark, table)
+    return name_index.search_names(spark, table, "cust_MER#%9")
+
+
 @register
 def create_if_missing(spark: SparkSession, folder: str) -> DataFrame:
     """Created, filled, and not emptied by being created again."""

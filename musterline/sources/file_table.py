@@ -19,7 +19,7 @@ from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from musterline.errors import ContractError, DuplicateKeyError, MissingKeyError
@@ -37,6 +37,11 @@ _MANIFEST = "file string, rows bigint, low bigint, high bigint"
 _FILE = "__file"
 
 
+def file_place() -> Column:
+    """Of a row read from data files, the file's name as manifests have it."""
+    return F.concat_ws("/", F.element_at(F.split("_metadata.file_path", "/"), -2), F.col("_metadata.file_name"))
+
+
 @dataclass(frozen=True)
 class DataFile:
     """A data file below ``files``, its rows, and its lowest and highest key."""
@@ -159,9 +164,8 @@ def _addressed(spark: SparkSession, table: FileTable, keys: DataFrame) -> list[D
     """
     key = table.columns.id
     near = table.may_hold(_sorted_keys(keys, key))
-    place = F.concat_ws("/", F.element_at(F.split("_metadata.file_path", "/"), -2), F.col("_metadata.file_name"))
     rows = table.read(spark, near)
-    placed = rows.select(key, (place if near else F.lit(None).cast("string")).alias(_FILE))
+    placed = rows.select(key, (file_place() if near else F.lit(None).cast("string")).alias(_FILE))
     hits = written(rows_with_keys(placed, keys, key))
     shown = keys.select(key).distinct().join(hits.select(key), key, "left_anti").limit(20).collect()
     if shown:
@@ -267,7 +271,6 @@ def _by_check(spark: SparkSession, table: FileTable, rule: Contract) -> tuple[li
 
 def _broken(spark: SparkSession, table: FileTable, files: list[DataFile], rule: Contract) -> DataFrame:
     rows = table.read(spark, files)
-    place = F.concat_ws("/", F.element_at(F.split("_metadata.file_path", "/"), -2), F.col("_metadata.file_name"))
-    rows = rows.withColumn(_FILE, place if files else F.lit(None).cast("string"))
+    rows = rows.withColumn(_FILE, file_place() if files else F.lit(None).cast("string"))
     _, bad = split(annotate(rows, rule))
     return bad
