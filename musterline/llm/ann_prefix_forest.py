@@ -160,5 +160,6 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id"
 
 
 def op4_ann_prefix_forest(spark, sf_dir: str) -> DataFrame:
+    """Five nearest rows of each fiftieth vector; odd and repeated rows as in :func:`nearest`."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return nearest(rows, rows.where("vec_id % 50 = 0"))

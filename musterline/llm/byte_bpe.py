@@ -335,12 +335,16 @@ def encoded_and_decoded(spark: SparkSession, docs: DataFrame, rank_file: str | N
 
 
 def op3_byte_bpe(spark, sf_dir: str) -> DataFrame:
+    """Digests of ids and decoded bytes of every document; a null text is empty, repeated rows give equal rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return encoded_and_decoded(spark, docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def stage_byte_bpe(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document; ``round_trip`` says whether decoding gives back its bytes."""
+    """Token ids of each document; ``round_trip`` says whether decoding gives back its bytes.
+
+    The last stage: only doc_id stays of the documents' columns. Null texts have no ids, repeated rows stay.
+    """
     both = encoded_and_decoded(spark, docs.select("doc_id", "text"))
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return both.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", same.alias("round_trip"))

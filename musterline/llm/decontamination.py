@@ -193,6 +193,7 @@ def contaminated(
 
 
 def op2_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    """The best window of each document and benchmark item that match; odd rows as in :func:`contaminated`."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

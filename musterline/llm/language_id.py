@@ -164,6 +164,7 @@ def identify_languages(docs: DataFrame, model, text: str = "text") -> DataFrame:
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; null texts and those without a letter are ``und``, other columns are no inputs."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit_languages(docs.where(~held_out("doc_id", 3, 1)))
     found = identify_languages(docs.select("doc_id", "text"), model)

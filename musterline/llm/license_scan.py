@@ -267,4 +267,5 @@ def scan_licenses(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
 
 
 def op5_license_scan(spark, sf_dir: str) -> DataFrame:
+    """Words, base places and labels of every document; odd rows as in :func:`scan_licenses`."""
     return scan_licenses(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")

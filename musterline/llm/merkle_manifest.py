@@ -202,6 +202,7 @@ def verified_documents(docs: DataFrame) -> DataFrame:
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of every document; odd rows as in :func:`verified_documents`."""
     return verified_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 

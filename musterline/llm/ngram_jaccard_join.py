@@ -269,7 +269,7 @@ def ngram_jaccard_components(
 
     ``component_id`` is the smallest key reachable over links of similarity ``num / den`` or more. A
     null or empty text has no shingles and links with nothing. Rows of one key are one node; their
-    texts should be equal (else the set of the greatest digest counts). A null key gets a null
+    texts should be equal (else one of their sets counts, and a link may be that of another). A null key gets a null
     component. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -324,11 +324,15 @@ def ngram_jaccard_components(
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
+    """Set size and component of every document (3 words, 0.9); odd rows as in :func:`ngram_jaccard_components`."""
     return ngram_jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=3, num=9, den=10)
 
 
 def keep_one_per_group(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """``docs`` without the documents that are not the first of their component; columns unchanged."""
+    """``docs`` without the documents that are not the first of their component; columns unchanged.
+
+    The key is ``doc_id``. Rows without one stay; of rows with equal keys all stay or all go; empty texts stay.
+    """
     groups = ngram_jaccard_components(docs, k, num, den)
     gone = written(groups.where("doc_id <> component_id").select("doc_id").distinct())
     return docs.join(sized(gone), "doc_id", "left_anti").select(*docs.columns)

@@ -254,6 +254,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, text: str = "text", scor
 
 
 def op8_quality_classifier(spark, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document, fitted on votes over all of them; a null text counts as empty."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     scored = score_quality(docs, fit_quality(docs))
     return scored.select("doc_id", "quality_score", (F.col("quality_score") < 0.5).alias("rejected"))

@@ -128,6 +128,7 @@ def held_out(key: str, folds: int, fold: int) -> Column:
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
+    """Score of every document, learned from the rows not held out; null and empty texts get a score too."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(~held_out("doc_id", 5, 0))
     scored = score_toxicity(docs, fit_toxicity(docs, labels))

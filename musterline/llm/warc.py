@@ -188,6 +188,7 @@ def archive_and_read(spark: SparkSession, pages: DataFrame) -> DataFrame:
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
+    """Every page written as a record and read back; odd rows as in :func:`plan_records`."""
     return archive_and_read(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 

@@ -552,3 +552,16 @@ def test_pipeline_stages_take_effect(spark, folder):
     assert not [r for r in docs.collect() if pii.base_spans(r.text)]
     last = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r.doc_id for r in last} == kept and all(r.round_trip for r in last)
+
+
+def test_pipeline_stages_of_empty_and_odd_tables(spark, folder):
+    import corpus_pipeline
+
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(ODD)] + [(3, "one", "en", "s", 3), (None, "one two three", None, None, None)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").schema)
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, docs.limit(0), folder)
+        assert empty.count() == 0, name
+        found = stage(spark, docs, folder)
+        assert name == "byte_bpe" or (found.columns == docs.columns and empty.columns == docs.columns), name
+        assert 0 < found.count() <= docs.count(), name
