@@ -34,7 +34,8 @@ def work_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master  # local-cluster has executors with folders of their own
+        if master != "local" and not master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors can reach")
         root = tempfile.mkdtemp(prefix="musterline-")
     return f"{root.rstrip('/')}/musterline-{uuid.uuid4().hex}"
