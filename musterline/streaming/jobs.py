@@ -64,9 +64,10 @@ class KeyLedger:
         return runs + [f"{self.folder}/epoch={e}" for e in range(merged, epoch)]
 
     def _read(self, folders: list[str]) -> DataFrame | None:
-        # Every run of RUN batches has a folder, and so has each batch that had keys.
         names = set(children(self.spark, self.folder))
         held = [f for f in folders if f.rsplit("/", 1)[1] in names]
+        if len(held) < len(folders):
+            raise StreamOwnerError(f"keys of earlier batches are missing below {self.folder}")
         # Each is a partitioned table of its own; at most RUN of them.
         tables = [self.spark.read.schema(_KEYS).parquet(f) for f in held]
         return reduce(DataFrame.unionByName, tables) if tables else None
