@@ -36,7 +36,7 @@ FREQUENT = 6
 #: raised until they fit. It only decides an order: the result does not depend on it.
 MOST_FREQUENT = 1 << 21
 #: Tasks that count shingles hold about so many of them.
-COUNTED_PER_TASK = 4_000_000
+COUNTED_PER_TASK = 1_000_000
 
 
 def _counted(shingles: np.ndarray, tasks: int) -> np.ndarray:
@@ -114,16 +114,19 @@ def frequent_shingles(docs: DataFrame, text: str, k: int, tasks: int) -> np.ndar
 
     def per_bucket(key, table):
         got = list(counted(table.to_batches()))
-        tokens = np.concatenate([t for t, _ in got]).astype(np.uint64) | np.uint64(key[0].as_py() << 32)
+        tokens = np.concatenate([t for t, _ in got])
         counts = np.concatenate([c for _, c in got])
+        del got
         if not len(tokens):
             return pa.table({"token": pa.array([], pa.int64()), "df": pa.array([], pa.int64())})
         order = np.argsort(tokens)
-        tokens, counts = tokens[order], counts[order].astype(np.int64)
+        tokens, counts = tokens[order], counts[order]
+        del order
         first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-        total = np.add.reduceat(counts, first)
+        total = np.add.reduceat(counts, first, dtype=np.int64)
         often = total >= FREQUENT
-        return pa.table({"token": pa.array(tokens[first][often].view(np.int64)), "df": pa.array(total[often])})
+        found = tokens[first[often]].astype(np.uint64) | np.uint64(key[0].as_py() << 32)
+        return pa.table({"token": pa.array(found.view(np.int64)), "df": pa.array(total[often])})
 
     packs = docs.select(text).mapInArrow(packed, "bucket int, single binary, many binary, number binary")
     often = written(packs.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(per_bucket, "token long, df long"))
