@@ -89,7 +89,9 @@ def candidates(spark: SparkSession, table: FileTable, grams: list[str]) -> tuple
 
 
 def search_names(spark: SparkSession, table: FileTable, query: str) -> DataFrame:
-    """The rows whose name contains ``query``, as ``search(query=...)`` finds them."""
+    """The rows whose name contains ``query``, as ``search(query=...)`` finds them; an empty query is no condition."""
+    if not query:
+        return table.read(spark)
     c = table.columns
     match = name_contains(F.col(c.name), query)
     grams = pattern_trigrams(query)

@@ -48,15 +48,20 @@ def test_arrays_equal_those_read_whole(spark, tmp_path, small_blocks):
     assert [r["id"] for r in placed.orderBy("p").collect()] == [str(i) for i in range(120)]
 
 
-@pytest.mark.parametrize(
-    "text",
-    ['{"id": "1"}', '[{"id": "1"}', '[{"id": "1"}]]', '[{"id": "1"} {"id": "2"}]', '[{"id": "1}]', '[{"id": 1},]', "nothing", '[{"id": "1"}] more', "[1, 2]",
-     '[{"id": "1"}, 5]', '[5, {"id": "1"}]', "\n", '[{"id": "1"}, {"id" "2"}]'],
-)
-def test_what_is_no_array_of_objects_is_told(spark, tmp_path, text):
-    (tmp_path / "bad.json").write_text(text)
+BAD = [
+    '{"id": "1"}', '[{"id": "1"}', '[{"id": "1"}]]', '[{"id": "1"} {"id": "2"}]', '[{"id": "1}]', '[{"id": 1},]', "nothing",
+    '[{"id": "1"}] more', "[1, 2]", '[{"id": "1"}, 5]', '[5, {"id": "1"}]', "\n", '[{"id": "1"}, {"id" "2"}]',
+]
+
+
+def test_what_is_no_array_of_objects_is_told(spark, tmp_path):
+    for i, text in enumerate(BAD):
+        (tmp_path / f"bad{i}.json").write_text(text)
     (tmp_path / "good.json").write_text('[{"id": "7"}, {"id": "8"}]')
-    with pytest.raises(PayloadError, match="bad.json"):
+    _, corrupt = json_arrays.array_elements(spark, str(tmp_path))
+    names = sorted(r["file"].rsplit("/", 1)[1] for r in corrupt.collect())
+    assert names == sorted(f"bad{i}.json" for i in range(len(BAD)))
+    with pytest.raises(PayloadError, match="bad"):
         json_arrays.read_large_arrays(spark, str(tmp_path))
     kept = json_arrays.read_large_arrays(spark, str(tmp_path), on_corrupt="quarantine")
     assert sorted(r["id"] for r in kept.collect()) == ["7", "8"]

@@ -24,12 +24,14 @@ def keys(df):
     return sorted(r["employee_id"] for r in df.collect())
 
 
-@pytest.mark.parametrize("query", ["anna", "ANN%le", "nn", "a_n", "%", "", "zzz", "bob\\r", "Lee Anna", "on 1_3", "ünal", "Öz", "ann%%bel"])
-def test_equals_the_scan(spark, table, query):
-    expected = keys(search(table.read(spark), query=query))
-    assert keys(ni.search_names(spark, table, query)) == expected  # nothing is indexed yet
+QUERIES = ["anna", "ANN%le", "nn", "a_n", "%", "", "zzz", "bob\\r", "Lee Anna", "on 1_3", "ünal", "Öz", "ann%%bel"]
+
+
+def test_equals_the_scan(spark, table):
+    expected = {q: keys(search(table.read(spark), query=q)) for q in QUERIES}
+    assert keys(ni.search_names(spark, table, "anna")) == expected["anna"]  # nothing is indexed yet
     assert ni.index_names(spark, table) == len(table.files) and ni.index_names(spark, table) == 0
-    assert keys(ni.search_names(spark, table, query)) == expected
+    assert {q: keys(ni.search_names(spark, table, q)) for q in QUERIES} == expected
 
 
 def test_few_rows_are_read_and_changes_are_followed(spark, table):
