@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from musterline.llm.text_hashing import slices, with_fields
 
 #: About so many bytes of pieces and their ids are remembered by a worker; when full, it starts anew.
-REMEMBERED = 96 << 20
+REMEMBERED = 56 << 20
 #: What an entry takes besides its characters and ids.
 _ENTRY = 250
 #: Segment trees that take their steps together.
@@ -246,6 +246,7 @@ def _encoding(spark: SparkSession, ranks: dict[bytes, int], pattern: str, text:
     sent = spark.sparkContext.broadcast((hash(frozenset(ranks.items())), ranks))
 
     def encoded(batches):
+        pa.default_memory_pool().release_unused()  # what this worker's earlier tasks have left
         encoder = _encoder(sent, pattern)
         for part in slices(batches, text, size=2 << 20):
             found = encoder.encode(part.column(text).to_pylist())
