@@ -2,9 +2,9 @@
 
 The base rules always count. Beside them, generators with high recall propose overlapping spans
 (anything like an address, a group of digits, a key); each gets features of its format and of the
-characters around it. Boosted trees are fitted on a bounded sample of the corpus' own proposals, with
+characters around it. Boosted trees are fitted on all of the corpus' own proposals, with
 labels from strict checks (a base rule or a known key format holds; or it is plainly prose or a
-short number); base addresses rewritten in the forms that hide them are learned too. A threshold per family, calibrated on the part of the sample kept apart, selects what
+short number); base addresses rewritten in the forms that hide them are learned too. A threshold per family, calibrated on the part of the proposals kept apart, selects what
 is redacted in addition.
 """
 
@@ -17,7 +17,8 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
 from musterline.llm.text_hashing import slices, with_fields
 from musterline.session import written
@@ -25,11 +26,13 @@ from musterline.session import written
 KINDS = ("email", "ip", "card", "phone")
 #: Further kinds that only the method reports; in results they come after KINDS.
 MORE_KINDS = ("secret",)
-#: Proposed spans that the trees are fitted on, those with the smallest hash.
+#: No longer a bound: the trees are fitted on every distinct labelled span.
 SAMPLE_SPANS = 20_000
 #: Precision that a threshold must have on the part of the sample kept apart.
 PRECISION = 0.995
 TREES, DEPTH, RATE, BINS = 30, 3, 0.3, 32
+#: Labelled spans per part while the trees are fitted.
+LEARN_PART = 200_000
 
 #: An address from its sign on; its name is the run of NAME characters before, so each is looked at once.
 HOST = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -232,14 +235,53 @@ class Trees:
         return feature, cut, value
 
     def _walk(self, tree, bins):
-        feature, cut, value = tree
+        return tree[2][self._nodes(tree, bins)]
+
+    @staticmethod
+    def _nodes(tree, bins):
+        feature, cut, _ = tree
         node = np.zeros(len(bins), int)
         for _ in range(DEPTH):
             f = feature[node]
             inner = f >= 0
             right = bins[np.arange(len(bins)), np.maximum(f, 0)] > cut[node]
             node = np.where(inner, 2 * node + 1 + right, node)
-        return value[node]
+        return node
+
+    def fit_frame(self, rows: DataFrame, width: int, x: str = "x", y: str = "label") -> Trees:
+        """What ``fit`` does, over every row of ``rows``: Spark sums gradients by node, feature and bin.
+
+        Edges are approximate quantiles; each level of each tree is one pass over the rows.
+        """
+        qs = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
+        got = rows.agg(F.avg(y).alias("rate"), *[F.percentile_approx(F.col(x)[i], qs, 10_000).alias(f"q{i}") for i in range(width)]).first()
+        self.edges = [np.unique(np.array(got[f"q{i}"], float)) for i in range(width)]
+        rate = min(max(got["rate"], 1e-3), 1 - 1e-3)
+        self.start = math.log(rate / (1 - rate))
+        size = 2 ** (DEPTH + 1) - 1
+        for _ in range(TREES):
+            tree = np.full(size, -1), np.zeros(size, int), np.zeros(size)
+            for level in range(DEPTH + 1):
+                low, count = 2**level - 1, 2**level
+                g, h, n = _node_sums(rows, x, y, width, self, tree, low, count)
+                for j in range(count):
+                    at = low + j
+                    if not n[j, 0].sum():
+                        continue
+                    tree[2][at] = RATE * g[j, 0].sum() / (h[j, 0].sum() + 1.0)
+                    if at >= size // 2:
+                        continue
+                    best = (1e-6, -1, 0)
+                    for f in range(width):
+                        gs, hs = np.cumsum(g[j, f]), np.cumsum(h[j, f])
+                        gain = gs**2 / (hs + 1) + (gs[-1] - gs) ** 2 / (hs[-1] - hs + 1) - gs[-1] ** 2 / (hs[-1] + 1)
+                        place = int(gain[:-1].argmax())
+                        if gain[place] > best[0]:
+                            best = (gain[place], f, place)
+                    if best[1] >= 0:
+                        tree[0][at], tree[1][at] = best[1:]
+            self.trees.append(tree)
+        return self
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         if not len(x):
@@ -249,8 +291,48 @@ class Trees:
         return 1 / (1 + np.exp(-score))
 
 
+def _values(batch: pa.RecordBatch, x: str, width: int) -> np.ndarray:
+    return pc.list_flatten(batch.column(x)).to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _node_sums(rows: DataFrame, x: str, y: str, width: int, model: Trees, tree, low: int, count: int):
+    """Sums of gradient, curve and rows by node of ``tree`` from ``low`` on, feature and bin; the trees fitted so far give the scores."""
+    edges, trees, start = model.edges, list(model.trees), model.start
+    tree = tuple(a.copy() for a in tree)
+    cells = count * width * BINS
+
+    def sums(batches):
+        done = Trees()
+        done.edges, done.trees, done.start = edges, trees, start
+        total = np.zeros((3, cells))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bins = done._bins(_values(batch, x, width))
+            score = start + sum((done._walk(t, bins) for t in trees), np.zeros(len(bins)))
+            p = 1 / (1 + np.exp(-score))
+            label = batch.column(y).to_numpy(zero_copy_only=False).astype(float)
+            node = Trees._nodes(tree, bins) - low
+            here = (node >= 0) & (node < count)
+            at = ((node[here, None] * width + np.arange(width)) * BINS + bins[here]).ravel()
+            for i, w in enumerate((label - p, p * (1 - p), np.ones(len(p)))):
+                total[i] += np.bincount(at, np.repeat(w[here], width), cells)
+        kept = np.flatnonzero(total[2])
+        if len(kept):
+            yield pa.record_batch([pa.array(kept, pa.int64()), *[pa.array(total[i, kept]) for i in range(3)]], names=["k", "g", "h", "n"])
+
+    found = rows.select(x, y).mapInArrow(sums, "k long, g double, h double, n double").groupBy("k").agg(*[F.sum(c).alias(c) for c in "ghn"])
+    out = np.zeros((3, cells))
+    for r in found.collect():
+        out[:, r.k] = r.g, r.h, r.n
+    return tuple(out.reshape(3, count, width, BINS))
+
+
 def fit_pii(docs: DataFrame, text: str = "text"):
-    """(trees, threshold per family) from at most SAMPLE_SPANS proposals with a strict label."""
+    """(trees, threshold per family) from every distinct proposal with a strict label.
+
+    A quarter of them, by hash, is kept apart for the thresholds; the trees learn from the rest.
+    """
     width = len(features("1", "number", 0, 1))
 
     def labelled(batches):
@@ -269,33 +351,36 @@ def fit_pii(docs: DataFrame, text: str = "text"):
                         hashes.append(h)
                         labels.append(label)
                         rows.append((t, family, a, b))
-            keep = np.argsort(hashes, kind="stable")[: SAMPLE_SPANS // 2]
-            kept = [features(*rows[i]) for i in keep]
             yield pa.record_batch(
-                [pa.array([hashes[i] for i in keep], pa.int64()), pa.array([labels[i] for i in keep], pa.int32()), pa.array(kept, pa.list_(pa.float64()))],
+                [pa.array(hashes, pa.int64()), pa.array(labels, pa.int32()), pa.array([features(*r) for r in rows], pa.list_(pa.float64()))],
                 names=["h", "label", "x"],
             )
 
     rows = docs.select(F.col(text).cast("string").alias(text)).where(F.length(text) > 0).mapInArrow(labelled, "h long, label int, x array<double>")
     # Distinct hashes first, so a span with many copies counts once; stored, so the texts are read once.
     rows = written(rows.groupBy("h", "label").agg(F.min("x").alias("x")))
-    halves = [rows.where(F.col("label") == label).orderBy("h", "x").limit(SAMPLE_SPANS // 2).toArrow() for label in (0, 1)]
-    table = pa.concat_tables(halves)
-    if not table.num_rows or len(set(table.column("label").to_pylist())) < 2:
+    labels = {r.label for r in rows.groupBy("label").count().collect()}
+    apart = F.col("h") % 4 == 0
+    learn = rows.where(~apart)
+    size = learn.count()
+    if len(labels) < 2 or not size:
         return Trees().fit(np.zeros((1, width)), np.zeros(1)), [1.1] * 3
-    x = np.array(table.column("x").to_pylist())
-    y, h = table.column("label").to_numpy(), table.column("h").to_numpy()
-    apart = h % 4 == 0
-    trees = Trees().fit(x[~apart], y[~apart])
-    p, y, family = trees.predict(x[apart]), y[apart], x[apart, 0]
-    return trees, [_threshold(p[family == i], y[family == i]) for i in range(3)]
-
-
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The least probability from which on the precision is at least PRECISION, and 0.9 at least."""
-    order = np.argsort(-p, kind="stable")
-    good = np.flatnonzero(np.cumsum(y[order]) >= PRECISION * np.arange(1, len(y) + 1))
-    return max(0.9, float(p[order][good[-1]])) if len(good) else 1.1
+    # Each part gives sums over its rows: as many parts as the rows need, however the input was split.
+    trees = Trees().fit_frame(learn.coalesce(-(-size // LEARN_PART)), width)
+    sent = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def scored(batches):
+        for batch in batches:
+            x = _values(batch, "x", width)
+            yield pa.record_batch([pa.array(x[:, 0].astype(np.int32)), pa.array(sent.value.predict(x)), batch.column("label")], names=["family", "p", "label"])
+
+    # A threshold cannot part equal scores: they are taken together, highest first.
+    by = rows.where(apart).select("x", "label").mapInArrow(scored, "family int, p double, label int")
+    by = by.groupBy("family", "p").agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+    upto = Window.partitionBy("family").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by = by.select("family", "p", F.sum("n").over(upto).alias("n"), F.sum("good").over(upto).alias("good"))
+    least = dict(by.where(F.col("good") >= PRECISION * F.col("n")).groupBy("family").agg(F.min("p")).collect())
+    return trees, [max(0.9, least[i]) if i in least else 1.1 for i in range(3)]
 
 
 def _kind(family: str, s: str) -> str:

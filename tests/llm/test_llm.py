@@ -565,3 +565,15 @@ def test_pipeline_stages_of_empty_and_odd_tables(spark, folder):
         found = stage(spark, docs, folder)
         assert name == "byte_bpe" or (found.columns == docs.columns and empty.columns == docs.columns), name
         assert 0 < found.count() <= docs.count(), name
+
+
+def test_pii_trees_learn_from_every_labelled_span(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = [f"call +49 30 {rng.randrange(10**7):07d} or key {rng.randrange(16**20):020x} at x{i}@mail.example.org" for i in range(60)]
+    texts += [f"note {rng.randrange(10**5)} and word{'x' * 16}{i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    trees, thresholds = pii.fit_pii(df)
+    monkeypatch.setattr(pii, "SAMPLE_SPANS", 4)
+    few, few_thresholds = pii.fit_pii(df)
+    x = np.array([pii.features(t, *s) for t in texts for s in pii.proposals(t)])
+    assert np.allclose(trees.predict(x), few.predict(x)) and thresholds == few_thresholds
