@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from musterline.llm.text_hashing import slices, with_fields
+from musterline.llm.text_hashing import given_back, slices, with_fields
 
-#: About so many bytes of pieces and their ids are remembered by a worker; when full, it starts anew.
+#: About so many bytes of pieces and their ids are remembered by a worker during a task; when full, it starts anew.
 REMEMBERED = 56 << 20
 #: What an entry takes besides its characters and ids.
 _ENTRY = 250
@@ -200,6 +200,10 @@ class Encoder:
         cuts = [0, *(4 * np.cumsum(live.sum(axis=1))).tolist()]
         return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def forget(self) -> None:
+        """Drops the remembered pieces; the vocabulary stays."""
+        self.known, self.spaced, self.held = {}, {}, 0
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as the bytes of int32 numbers; null has none.
 
@@ -233,7 +237,7 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def _encoder(sent, pattern: str) -> Encoder:
-    """One encoder per worker, vocabulary and pattern, so that what it remembers outlives a task."""
+    """One encoder per worker, vocabulary and pattern, so that its pairs of tokens outlive a task."""
     key = (sent.value[0], pattern)
     if key not in _encoders:
         _encoders.clear()
@@ -246,15 +250,19 @@ def _encoding(spark: SparkSession, ranks: dict[bytes, int], pattern: str, text:
     sent = spark.sparkContext.broadcast((hash(frozenset(ranks.items())), ranks))
 
     def encoded(batches):
-        pa.default_memory_pool().release_unused()  # what this worker's earlier tasks have left
         encoder = _encoder(sent, pattern)
-        for part in slices(batches, text, size=2 << 20):
-            found = encoder.encode(part.column(text).to_pylist())
-            offsets = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
-            flat = np.frombuffer(b"".join(found), np.int32)
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.record_batch([*part.columns, column], names=[*part.schema.names, ids])
+        try:
+            for part in slices(batches, text, size=2 << 20):
+                found = encoder.encode(part.column(text).to_pylist())
+                offsets = np.zeros(len(found) + 1, np.int32)
+                np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+                flat = np.frombuffer(b"".join(found), np.int32)
+                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                yield pa.record_batch([*part.columns, column], names=[*part.schema.names, ids])
+        finally:
+            # An idle worker holds no pieces: they would stay while the worker serves other stages.
+            encoder.forget()
+            given_back()
 
     return encoded
 

@@ -6,6 +6,8 @@ no byte of a longer UTF-8 character is one, so splitting bytes equals splitting
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +16,10 @@ import pyarrow.compute as pc
 from pyspark.sql import types as T
 
 _PIECE = 1 << 20
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    _trim = None
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -108,8 +114,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), bounds
 
 
+def given_back() -> None:
+    """Gives the system back what this Python worker's tasks have freed, so that an idle worker holds little."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = 512, size: int = 4 << 20):
-    """Parts of the batches with at most ``rows`` rows and about ``size`` bytes of text each."""
+    """Parts of the batches with at most ``rows`` rows and about ``size`` bytes of text each; at the end, memory is given back."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
@@ -120,6 +134,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", rows: int = 51
             total += int(length)
         if len(lengths) > start:
             yield batch.slice(start)
+    given_back()
 
 
 def combine(*parts: np.ndarray) -> np.ndarray:

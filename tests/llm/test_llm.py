@@ -577,3 +577,17 @@ def test_pii_trees_learn_from_every_labelled_span(spark, monkeypatch):
     few, few_thresholds = pii.fit_pii(df)
     x = np.array([pii.features(t, *s) for t in texts for s in pii.proposals(t)])
     assert np.allclose(trees.predict(x), few.predict(x)) and thresholds == few_thresholds
+
+
+def test_bpe_worker_keeps_no_pieces_after_a_task(spark):
+    """A finished task leaves no remembered pieces in its worker, which may next serve other stages."""
+    import pyarrow as pa
+
+    vocabulary = pytest.importorskip("public_tokenizers")
+    ranks = byte_bpe.load_ranks(spark, vocabulary.path("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe._encoding(spark, ranks, vocabulary.PATTERN, "text", "ids")
+    batch = pa.record_batch([pa.array(["some words and more words", None, "x " * 50])], names=["text"])
+    out = list(encoded(iter([batch])))
+    assert [len(x) > 0 for x in out[0].column("ids").to_pylist()] == [True, False, True]
+    encoder = next(iter(byte_bpe._encoders.values()))
+    assert encoder.known == {} and encoder.spaced == {} and encoder.held == 0
