@@ -45,8 +45,10 @@ def index_names(spark: SparkSession, table: FileTable) -> int:
         return 0
     c, run = table.columns, uuid.uuid4().hex
     name = fold_ascii(F.col(c.name))
-    places = F.sequence(F.lit(1), F.length(name) - 2)
-    grams = F.when(F.length(name) >= 3, F.array_distinct(F.transform(places, lambda i: F.substring(name, i, F.lit(3)))))
+    # Every three characters from each place on, by a look-ahead that matches no characters: a compiled
+    # expression, where a lambda per place was interpreted for every character of every name. No place starts
+    # inside a character outside the BMP, which Java holds as two chars.
+    grams = F.array_distinct(F.regexp_extract_all(name, F.lit("(?s)(?=([^\\uDC00-\\uDFFF].{2}))"), F.lit(1)))
     rows = table.read(spark, new).select(F.explode(grams).alias("trigram"), file_place().alias("file"), F.col(c.id).alias("key"))
     rows = rows.withColumn("bucket", _bucket(F.col("trigram")))
     # A trigram that many names share fills several files of its bucket.

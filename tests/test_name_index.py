@@ -48,3 +48,13 @@ def test_few_rows_are_read_and_changes_are_followed(spark, table):
         ni.index_names(spark, changed)
     gone = ft.delete(spark, changed, one)
     assert 200 not in keys(ni.search_names(spark, gone, "ann%bel"))
+
+
+def test_entries_are_every_three_neighbouring_characters(spark, tmp_path):
+    names = ["ab", "abc", "a\nbc d", "x😀yz😀", "aaaa", "", None, "ünal öz"]
+    rows = [(i, n, "HR", "x", 1.0, dt.date(2024, 1, 1), 3) for i, n in enumerate(names, 1)]
+    table = ft.replace_rows(spark.createDataFrame(rows, ROSTER_SCHEMA), f"{tmp_path}/t", parts=2)
+    ni.index_names(spark, table)
+    found = spark.read.parquet(f"{table.base}/trigrams/runs").groupBy("key").agg(F.collect_set("trigram").alias("g"))
+    expected = {i: {n[j : j + 3] for j in range(len(n) - 2)} for i, n in enumerate(names, 1) if n and len(n) >= 3}
+    assert {r["key"]: set(r["g"]) for r in found.collect()} == expected
