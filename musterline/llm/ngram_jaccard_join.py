@@ -245,8 +245,9 @@ def _plausible(pairs: DataFrame, reps: DataFrame, num: int, den: int) -> DataFra
 def _verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, k: int, num: int, den: int) -> DataFrame:
     """The candidate pairs (a, b) that link, by their whole texts."""
     texts = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text")).where("__key is not null")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("__key")).distinct()
-    texts = written(texts.join(involved, "__key", "left_semi").groupBy("__key").agg(F.max("__text").alias("__text")))
+    # Few keys go to every task, so that only their texts are shuffled, not all of them.
+    involved = written(pairs.select(F.explode(F.array("a", "b")).alias("__key")).distinct())
+    texts = written(texts.join(sized(involved), "__key", "left_semi").groupBy("__key").agg(F.max("__text").alias("__text")))
     left = texts.select(F.col("__key").alias("a"), F.col("__text").alias("text_a"))
     right = texts.select(F.col("__key").alias("b"), F.col("__text").alias("text_b"))
 

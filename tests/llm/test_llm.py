@@ -591,3 +591,19 @@ def test_bpe_worker_keeps_no_pieces_after_a_task(spark):
     assert [len(x) > 0 for x in out[0].column("ids").to_pylist()] == [True, False, True]
     encoder = next(iter(byte_bpe._encoders.values()))
     assert encoder.known == {} and encoder.spaced == {} and encoder.held == 0
+
+
+def test_jaccard_verification_shuffles_only_the_texts_of_candidates(spark, monkeypatch):
+    """A small set of candidate keys is sent to the tasks even past Spark's broadcast threshold."""
+    seen = []
+    monkeypatch.setattr(ngram_jaccard_join, "sized", lambda df, *a: seen.append(df.count()) or decontamination.sized(df, *a))
+    texts = ["a b c d e f g h i j", "a b c d e f g h i k", "p q r s t u v w x y"] + [f"w{i} v{i} u{i} t{i}" for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = ngram_jaccard_join._verified(pairs, docs, "doc_id", "text", 3, 7, 10).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r.a, r.b) for r in got] == [(0, 1)]
+    assert seen == [3]
